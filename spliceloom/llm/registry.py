@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, langid, quality, secrets
-from .common import table
+from . import exact, langid, packing, quality, rans, secrets
+from .common import shared_dir, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -24,6 +26,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/rans-{uuid.uuid4().hex}"
+    return rans.round_trip(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), 1, 49_408)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), 0, with_ids=False)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
@@ -36,6 +47,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_rans_tokens": op4_rans_tokens,
+    "op5_packing": op5_packing,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality": op8_quality,
 }
