@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, langid, packing, quality, rans, secrets
+from . import exact, langid, minhash, packing, quality, rans, secrets
 from .common import shared_dir, table
 
 
@@ -35,6 +35,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), 0, with_ids=False)
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_rans_tokens": op4_rans_tokens,
     "op5_packing": op5_packing,
+    "op6_minhash": op6_minhash,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality": op8_quality,
 }
