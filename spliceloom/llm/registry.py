@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, langid, minhash, packing, quality, rans, secrets
+from . import exact, langid, minhash, packing, quality, rans, repeats, secrets
 from .common import shared_dir, table
 
 
@@ -26,6 +26,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_rans_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/rans-{uuid.uuid4().hex}"
     return rans.round_trip(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"), 1, 49_408)
@@ -51,6 +55,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_suffix_array": op3_suffix_array,
     "op4_rans_tokens": op4_rans_tokens,
     "op5_packing": op5_packing,
     "op6_minhash": op6_minhash,
