@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, langid, minhash, packing, quality, rans, repeats, secrets
+from . import exact, langid, minhash, packing, quality, rans, repeats, secrets, vectors
 from .common import shared_dir, table
 
 
@@ -52,6 +52,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -61,5 +65,6 @@ QUERIES = {
     "op6_minhash": op6_minhash,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality": op8_quality,
+    "op10_vector_graph": op10_vector_graph,
 }
 SQL = {"op2_exact_dedup": exact.SQL}
