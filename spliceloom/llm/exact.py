@@ -63,9 +63,13 @@ def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits
 
 
 def drop_exact_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df without later copies: one row for each id that stays, all columns."""
-    keep = exact_groups(df, doc_id, text).filter("kept").select(F.col(doc_id).alias("__keep")).distinct()
-    return df.join(keep, F.col(f"`{doc_id}`").eqNullSafe(F.col("__keep")), "left_semi").dropDuplicates([doc_id])
+    """df without later copies, all columns. Rows that repeat an id become one; rows without an id stay."""
+    groups = written(exact_groups(df, doc_id, text).select(F.col(doc_id).alias("__gone"), "kept"), "groups").filter("__gone IS NOT NULL")
+    by_id = groups.groupBy("__gone").agg(F.count(F.lit(1)).alias("__rows"), F.max("kept").alias("__kept"))
+    same = F.col(f"`{doc_id}`") == F.col("__gone")
+    once = df.join(by_id.filter("NOT __kept OR __rows > 1").select("__gone"), same, "left_anti")
+    repeated = by_id.filter("__kept AND __rows > 1").select("__gone")
+    return once if repeated.isEmpty() else once.unionByName(df.join(repeated, same, "left_semi").dropDuplicates([doc_id]))
 
 
 SQL = """

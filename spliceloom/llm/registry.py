@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, langid, minhash, packing, quality, rans, repeats, secrets, vectors
+from . import exact, langid, minhash, packing, pieces, quality, rans, repeats, secrets, vectors
 from .common import shared_dir, table
 
 
@@ -52,10 +52,20 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op10_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -65,6 +75,8 @@ QUERIES = {
     "op6_minhash": op6_minhash,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality": op8_quality,
+    "op9_merge_dropout": op9_merge_dropout,
     "op10_vector_graph": op10_vector_graph,
+    "pipeline": pipeline,
 }
 SQL = {"op2_exact_dedup": exact.SQL}
