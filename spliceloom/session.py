@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "6g") -> SparkSession:
@@ -29,3 +31,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One Parquet table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the folder that driver and executors share: computed once, kept when executors go."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="spliceloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
