@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import partitions, slices, written
 from .tokens import encoder
 
-SCALE_BITS, LANES, BLOCK, STRIDE = 20, 1024, 1 << 18, 128
+SCALE_BITS, LANES, BLOCK, STRIDE = 20, 4096, 1 << 20, 128
 _LOW, _32, _MASK = np.uint64(1 << 31), np.uint64(32), np.uint64(0xFFFFFFFF)
 BLOCKS = "part int, block int, doc_ids array<long>, starts array<long>, n_tokens array<int>, n_ids int, stream binary, states binary, steps array<int>, to_come array<int>, checkpoints binary, stream_crc32 long, ids_crc32 long"
 _BLOCK_TYPE = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("n_ids", pa.int32()), ("stream", pa.binary()), ("states", pa.binary()), ("steps", pa.list_(pa.int32())), ("to_come", pa.list_(pa.int32())), ("checkpoints", pa.binary()), ("stream_crc32", pa.int64()), ("ids_crc32", pa.int64())])
@@ -101,46 +101,54 @@ def decode_block(b: dict, table: Table, checkpoint: int = -1, lanes: int = LANES
     return ids
 
 
-def token_rows(df: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents in ranges of ascending id: part, ids before the document in its part, doc_id, n, ids (16 bits each)."""
+def token_rows(df: DataFrame, tokenizer: str, end_id: int, vocabulary: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents in ranges of ascending id: part, ids before the document in its part, doc_id, n, ids (16 bits each).
+
+    Each part ends with a row of n = -1 that has the counts of all its ids (64 bits each).
+    """
     rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     ranged = rows.repartitionByRange(partitions(df.sparkSession), "doc_id").sortWithinPartitions("doc_id")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, before, end = encoder(tokenizer), TaskContext.get().partitionId(), 0, np.array([end_id], "<u2").tobytes()
+        counts, names = np.zeros(vocabulary, np.int64), ["part", "before", "doc_id", "n", "ids"]
         for batch in batches:
             at = 0
             for some in slices(batch.column(1)):
                 ids = [x + end for x in enc.encode(some.to_pylist())]
                 n = np.fromiter((len(x) // 2 for x in ids), np.int64, len(ids))
-                yield pa.RecordBatch.from_arrays([pa.array([part] * len(n), pa.int32()), pa.array(before + np.cumsum(n) - n), batch.column(0).slice(at, len(n)), pa.array(n), pa.array(ids, pa.binary())], names=["part", "before", "doc_id", "n", "ids"])
+                yield pa.RecordBatch.from_arrays([pa.array([part] * len(n), pa.int32()), pa.array(before + np.cumsum(n) - n), batch.column(0).slice(at, len(n)), pa.array(n), pa.array(ids, pa.binary())], names=names)
+                counts += np.bincount(np.frombuffer(b"".join(ids), "<u2"), minlength=vocabulary)
                 before += int(n.sum())
                 at += len(n)
+        if before:
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before]), pa.array([None], pa.int64()), pa.array([-1]), pa.array([counts.tobytes()], pa.binary())], names=names)
 
     return ranged.mapInArrow(encode, "part int, before long, doc_id long, n long, ids binary")
 
 
 def frequencies(tokens: DataFrame, vocabulary: int) -> np.ndarray:
-    """Counts of every id over all documents; one short table leaves each task."""
+    """Counts of every id over all documents, from the last rows of the parts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u2"), minlength=vocabulary)
+            for x in batch.column(0):
+                total += np.frombuffer(x.as_buffer(), np.int64)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
     out = np.zeros(vocabulary, np.int64)
-    for r in tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in tokens.filter("n < 0").select("ids").mapInArrow(add, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         out[r["id"]] = r["n"]
     return out
 
 
 def write_files(tokens: DataFrame, path: str, vocabulary: int) -> None:
-    """Token rows as a file set at path: freqs and blocks."""
+    """Token rows (a written table) as a file set at path: freqs and blocks."""
     spark = tokens.sparkSession
     freq = scaled(frequencies(tokens, vocabulary))
-    totals = dict(sorted((r["part"], r["n"]) for r in tokens.groupBy("part").agg(F.sum("n").alias("n")).collect()))  # one row per part
+    totals = dict(sorted((r["part"], r["n"]) for r in tokens.filter("n >= 0").groupBy("part").agg(F.sum("n").alias("n")).collect()))  # one row per part
     base = dict(zip(totals, [0, *np.cumsum(list(totals.values()))[:-1].tolist()], strict=True)) if totals else {}
     spark.createDataFrame([(i, int(f)) for i, f in enumerate(freq) if f], "id int, freq long").coalesce(1).write.parquet(f"{path}/freqs")
     shared = spark.sparkContext.broadcast((freq, base))
@@ -165,7 +173,7 @@ def write_files(tokens: DataFrame, path: str, vocabulary: int) -> None:
         if docs:
             yield block((part, number), docs)
 
-    tokens.mapInArrow(encode, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    tokens.filter("n >= 0").mapInArrow(encode, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
 
 
 def _decoded(spark: SparkSession, path: str, each, fields: str) -> DataFrame:
@@ -206,5 +214,5 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
 def round_trip(df: DataFrame, path: str, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
     """Encodes df's texts to a file set at path and returns what its files hold, as read_digests does."""
-    write_files(written(token_rows(df, tokenizer, end_id), "tokens"), path, vocabulary)
+    write_files(written(token_rows(df, tokenizer, end_id, vocabulary), "tokens"), path, vocabulary)
     return read_digests(df.sparkSession, path)

@@ -39,14 +39,17 @@ class Encoder(dict):
         self.bytewise = self.tokenizer.normalizer is None
         self.model = self.tokenizer.model
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # one visible character per byte, as the byte-level alphabet has it; bytes of two come as Latin-1 text
         self.visible = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(128)}
-        self.level = level
+        self.visible |= {c: level.pre_tokenize_str(chr(0x80 | c & 63))[0][0][1] for c in range(128, 192)}
+        self.visible |= {c: level.pre_tokenize_str(chr((c & 31) << 6))[0][0][0] for c in range(194, 224)}
         self.old: dict[str, bytes] = {}
 
     def word(self, pre_token: str) -> bytes:
-        """Ids of one pre-token."""
-        shown = pre_token.translate(self.visible) if pre_token.isascii() else self.level.pre_tokenize_str(pre_token)[0][0]
-        return b"".join([_TWO[t.id] for t in self.model.tokenize(shown)])
+        """Ids of one pre-token of code points below U+0800."""
+        if not (pre_token.isascii() and pre_token.isalpha()):
+            pre_token = pre_token.encode().decode("latin-1").translate(self.visible)
+        return b"".join([_TWO[t.id] for t in self.model.tokenize(pre_token)])
 
     def whole(self, text: str) -> bytes:
         """Ids of a text encoded as a whole."""
@@ -56,7 +59,7 @@ class Encoder(dict):
         ids = self.old.get(chunk)
         if ids is None:
             plain = _PLAIN.match(chunk)
-            if not plain:
+            if plain is None:
                 ids = self.whole(chunk)
             elif plain[2]:
                 ids = self[plain[1]] + self[plain[2]] if plain[1] != chunk else self.whole(chunk)
