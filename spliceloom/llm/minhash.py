@@ -6,8 +6,9 @@ representative follows paths: at a node, coordinates chosen from the node's own
 a second) lead to the children named by its minwise tokens there. Nodes of one member end. The rest is compared:
 
 1. each node's smallest member with the others; confirmed links give components;
-2. nodes of up to SMALL members exhaustively, larger ones against their members outside the largest component if those are
-   few, else they branch on; pairs that a component already joins are left out, which loses no component.
+2. in nodes of up to SMALL members, each member with the BEST most similar sketches outside its component;
+3. nodes of up to SMALL members exhaustively, larger ones against their members outside the largest component if those are
+   few, else they branch on; pairs that a component already joins are left out, which loses no component (labels between the rounds need not be final for that).
 
 Every link is confirmed on full sets. The number of trees follows from the target recall. Null ids have no links (and are
 kept); rows that repeat an id share its component.
@@ -28,7 +29,9 @@ from .common import slices, text_bytes, written
 from .components import components
 from .words import LOWER, SPACE, mix, span_hashes, split
 
-COORDS, DEPTH, SMALL, FEW, DEEPEST = 64, 3, 200, 64, 12
+COORDS, DEPTH, SMALL, FEW, DEEPEST, BEST = 64, 3, 1000, 200, 13, 4
+#: Slots of the filter that spares most texts the shuffle to their candidates; a broadcast of no more rows than this.
+SLOTS = 1 << 20
 _WORDS = (~SPACE).astype(np.uint8)
 _RNG = np.random.default_rng(65537)
 _MULTIPLY = _RNG.integers(1, 1 << 31, COORDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -139,7 +142,10 @@ def path_rows(reps: DataFrame, similarity: float, trees: int, levels: int, deepe
 def confirmed(df: DataFrame, pairs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(need, "doc_id", "left_semi")
+    need = written(need, "needed")
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
+    rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).withColumn("slot", slot)
+    rows = rows.join(F.broadcast(need.select(slot.alias("slot")).distinct()), "slot", "left_semi").select("doc_id", "text").join(need, "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,8 +171,11 @@ def confirmed(df: DataFrame, pairs: DataFrame, doc_id: str, text: str, width: in
     return joined.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long").distinct()
 
 
-def _group_pairs(rows: DataFrame, percent: int, bits: int) -> DataFrame:
-    """Pairs (a, b) of different labels inside each node that size and sketch allow; nodes have up to SMALL rows."""
+def _group_pairs(rows: DataFrame, percent: int, bits: int, best: int | None = None) -> DataFrame:
+    """Pairs (a, b) of different labels inside each node that size and sketch allow; nodes have up to SMALL rows.
+
+    best: of each row's pairs only so many, those of the most similar sketches.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(node, doc, n, sig, label):
@@ -175,11 +184,18 @@ def _group_pairs(rows: DataFrame, percent: int, bits: int) -> DataFrame:
             for s, e in zip(edge[:-1], edge[1:], strict=True):
                 if e - s < 2:
                     continue
-                i, j = np.triu_indices(e - s, 1)
-                i, j = i + s, j + s
-                ok = (label[i] != label[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (np.bitwise_count(sig[i] ^ sig[j]) <= bits)
-                a.append(np.minimum(doc[i], doc[j])[ok])
-                b.append(np.maximum(doc[i], doc[j])[ok])
+                d, m, w, g = (x[s:e] for x in (doc, n, sig, label))
+                far = np.bitwise_count(w[:, None] ^ w)
+                ok = (g[:, None] != g) & (100 * np.minimum(m[:, None], m) >= percent * np.maximum(m[:, None], m)) & (far <= bits)
+                if best is not None and e - s > best:
+                    near = np.argpartition(np.where(ok, far, 255), best, axis=1)[:, :best]
+                    some = np.zeros_like(ok)
+                    np.put_along_axis(some, near, True, axis=1)
+                    ok &= some
+                i, j = np.nonzero(ok)
+                pair = np.unique(np.stack([np.minimum(d[i], d[j]), np.maximum(d[i], d[j])]), axis=1)
+                a.append(pair[0])
+                b.append(pair[1])
             flat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64))
             return pa.RecordBatch.from_arrays([flat(a), flat(b)], names=["a", "b"])
 
@@ -204,10 +220,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     """Per row: doc_id, n_shingles, component_id, kept (one row id of each component stays)."""
     similarity = percent / 100
     trees, bits = tree_count(similarity, recall), most_bits(similarity)
-    table = written(sketch_table(df, doc_id, text, width), "sketches")
+    table = written(sketch_table(df, doc_id, text, width), "sketches")  # mins are read once more, for the representatives
     real = table.filter("n > 0 AND doc_id IS NOT NULL")
     classes = written(real.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = table.join(classes, ["h1", "h2"]).filter("doc_id = rep").select("doc_id", "n", "sig", "mins")
+    reps = written(table.join(classes, ["h1", "h2"]).filter("doc_id = rep").select("doc_id", "n", "sig", "mins"), "representatives")
     alike = lambda n, m, x, y: (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.bit_count(x.bitwiseXOR(y)) <= bits)
 
     paths = path_rows(reps, similarity, trees, DEPTH)
@@ -216,15 +232,25 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     star = nodes.filter((F.col("doc_id") != F.col("p")) & alike(F.col("n"), F.col("pn"), F.col("sig"), F.col("psig")))
     links = written(confirmed(df, written(star.select(F.col("p").alias("a"), F.col("doc_id").alias("b")).distinct(), "star"), doc_id, text, width, percent), "links")
 
-    labels = components(links)
-    nodes, found, level = nodes.select("node", "doc_id", "n", "sig"), [], DEPTH
-    while True:
+    def sized(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+        """Rows of nodes that hold more than one component, with the node's size and its largest component."""
         rows = written(nodes.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component"), "labelled")
         per = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("c"))
         sizes = per.groupBy("node").agg(F.sum("c").alias("size"), F.max("c").alias("top"), F.max_by("label", "c").alias("main")).filter("size > top")
-        sized = written(rows.join(sizes, "node"), "sized")
-        found.append(written(_group_pairs(sized.filter(F.col("size") <= SMALL), percent, bits).distinct(), "pairs"))
-        large = sized.filter(F.col("size") > SMALL)
+        return written(rows.join(sizes, "node"), "sized")
+
+    nodes = nodes.select("node", "doc_id", "n", "sig")
+    mixed = sized(nodes, components(links, rounds=1))
+    best = _group_pairs(mixed.filter(F.col("size") <= SMALL), percent, bits, BEST)
+    links = written(links.union(confirmed(df, written(best.distinct(), "best"), doc_id, text, width, percent)), "links")
+
+    labels, nodes, found, level = components(links, rounds=2), mixed.select("node", "doc_id", "n", "sig"), [], DEPTH
+    while True:
+        mixed = sized(nodes, labels)
+        found.append(written(_group_pairs(mixed.filter(F.col("size") <= SMALL), percent, bits).distinct(), "pairs"))
+        large = mixed.filter(F.col("size") > SMALL)
+        if large.isEmpty():
+            break
         few = (F.col("size") - F.col("top") <= FEW) | F.lit(level >= DEEPEST)
         out = large.filter(few & (F.col("label") != F.col("main"))).select("node", F.col("doc_id").alias("o"), F.col("n").alias("on"), F.col("sig").alias("osig"), F.col("label").alias("olabel"))
         against = large.filter(few).join(out, "node").filter((F.col("label") != F.col("olabel")) & alike(F.col("n"), F.col("on"), F.col("sig"), F.col("osig")))
@@ -232,9 +258,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         more = large.filter(~few)
         if level >= DEEPEST or more.isEmpty():
             break
-        deeper = path_rows(more.select("doc_id", "node").join(reps, "doc_id"), similarity, trees, 1, deeper=True)
+        deeper = path_rows(more.select("doc_id", "node").join(reps, "doc_id"), similarity, trees, 2, deeper=True)
         shared = deeper.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("node")
-        nodes, level = written(deeper.join(shared, "node"), "nodes"), level + 1
+        nodes, level = written(deeper.join(shared, "node"), "nodes"), level + 2
     pairs = found[0]
     for x in found[1:]:
         pairs = pairs.union(x)
