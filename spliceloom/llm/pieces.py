@@ -27,7 +27,7 @@ from .words import mix
 SPACE = "▁"
 #: Chunks longer than this go through a heap one by one; shorter ones merge in step, by length.
 LONG = 96
-#: Chunks that a worker keeps.
+#: Chunks that a worker keeps in each of two generations.
 MOST = 400_000
 _CHUNK = re.compile(r"▁*[^▁\n￹]+|▁+|\n|￹")
 _HIDDEN = "￹"  # stands for U+2581 and for itself while a text is cut; both become byte pieces
@@ -58,6 +58,7 @@ class Codec:
             if len(piece) == 1:
                 self.of_code[ord(piece)] = i
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.old = self.known
 
     def _tables(self, keys: np.ndarray, ids: np.ndarray, bits: int = 19) -> None:
         """Two hashed tables; a pair is in the first or, where that place is taken, in the second."""
@@ -100,35 +101,43 @@ class Codec:
         """A piece id for each character; characters without one are size + code point."""
         return self.of_code[np.frombuffer(text.encode("utf-32-le"), np.uint32)].astype(np.int64)
 
-    def in_step(self, chunks: list[str], variant: int) -> list[list[int]]:
-        """Symbols after all merges, for chunks of one length."""
+    def in_step(self, chunks: list[str], variant: int) -> list[bytes]:
+        """Ids after all merges, for chunks of one length; symbols of a chunk are linked, so nothing moves."""
         n, width = len(chunks), len(chunks[0])
         sym = self.symbols("".join(chunks)).reshape(n, width)
-        place = np.tile(np.arange(width), (n, 1))
-        size = np.full(n, width)
+        cols = np.arange(width)
+        after, before = np.tile(cols + 1, (n, 1)), np.tile(cols - 1, (n, 1))
+        rank, merged = np.full((n, width), np.inf, np.float32), np.zeros((n, width), np.int64)
         if width > 1:
-            rank, merged = self._merge(sym[:, :-1], sym[:, 1:], place[:, :-1], variant)
-            rank = np.concatenate([rank, np.full((n, 1), np.inf)], 1)
-            merged = np.concatenate([merged, np.zeros((n, 1), np.int64)], 1)
-            live = np.arange(n)
-            while True:
-                j = np.argmin(rank[live], axis=1)
-                go = rank[live, j] < np.inf
-                live, j = live[go], j[go]
-                if not len(live):
-                    break
-                sym[live, j] = merged[live, j]
-                cols = np.arange(width)
-                src = np.minimum(cols + (cols > j[:, None]), width - 1)
-                for a in (sym, place, rank, merged):
-                    a[live] = np.take_along_axis(a[live], src, 1)
-                size[live] -= 1
-                rank[live, size[live] - 1] = np.inf
-                for k in (j - 1, j):
-                    ok = (k >= 0) & (k < size[live] - 1)
-                    r, k = live[ok], k[ok]
-                    rank[r, k], merged[r, k] = self._merge(sym[r, k], sym[r, k + 1], place[r, k], variant)
-        return [row[:m] for row, m in zip(sym.tolist(), size.tolist(), strict=True)]
+            rank[:, :-1], merged[:, :-1] = self._merge(sym[:, :-1], sym[:, 1:], cols[:-1], variant)
+        live = np.arange(n)
+        while True:
+            r = rank[live]
+            j = np.argmin(r, axis=1)
+            go = r[np.arange(len(live)), j] < np.inf
+            live, j = live[go], j[go]
+            if not len(live):
+                break
+            k = after[live, j]
+            end = after[live, k]
+            sym[live, j] = merged[live, j]
+            sym[live, k] = -1
+            rank[live, k] = rank[live, j] = np.inf
+            after[live, j] = end
+            more = end < width
+            before[live[more], end[more]] = j[more]
+            start = before[live, j]
+            less = start >= 0
+            row = np.concatenate([live[more], live[less]])
+            left, right = np.concatenate([j[more], start[less]]), np.concatenate([end[more], j[less]])
+            rank[row, left], merged[row, left] = self._merge(sym[row, left], sym[row, right], left, variant)
+        kept = sym >= 0
+        ends = np.cumsum(kept.sum(axis=1)) * 4
+        data = sym[kept].astype("<i4").tobytes()
+        out = [data[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        for i in np.flatnonzero((sym >= self.size).any(axis=1)).tolist():
+            out[i] = self._final(sym[i][kept[i]].tolist())
+        return out
 
     def by_heap(self, chunk: str, variant: int) -> list[int]:
         """Symbols of one chunk by an agenda of candidates."""
@@ -162,21 +171,25 @@ class Codec:
     def learn(self, chunks: list[str], variant: int) -> None:
         """Ids of chunks that one variant does not know yet."""
         by: dict[int, list[str]] = {}
+        known, old = self.known[variant], self.old[variant]
         for c in chunks:
-            by.setdefault(len(c), []).append(c)
+            if (ids := old.get(c)) is None:
+                by.setdefault(len(c), []).append(c)
+            else:
+                known[c] = ids
         for length, group in by.items():
             if length > LONG:
-                self.known[variant].update((c, self._final(self.by_heap(c, variant))) for c in group)
+                known.update((c, self._final(self.by_heap(c, variant))) for c in group)
                 continue
             for i in range(0, len(group), 10_000):
                 part = group[i : i + 10_000]
-                self.known[variant].update(zip(part, map(self._final, self.in_step(part, variant)), strict=True))
+                known.update(zip(part, self.in_step(part, variant), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         out = []
         if sum(map(len, self.known)) > MOST:
-            self.known = [{} for _ in self.known]
+            self.old, self.known = self.known, [{} for _ in self.known]
         cut: list[tuple[int, list[str]]] = []
         for t in texts:
             chunks = _CHUNK.findall((" " + t).replace(SPACE, _HIDDEN).replace(" ", SPACE)) if t else []
