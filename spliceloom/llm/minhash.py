@@ -7,11 +7,13 @@ a second) lead to the children named by its minwise tokens there. Nodes of one m
 
 1. each node's smallest member with the others; confirmed links give components;
 2. in nodes of up to SMALL members, each member with the BEST most similar sketches outside its component;
-3. nodes of up to SMALL members exhaustively, larger ones against their members outside the largest component if those are
-   few, else they branch on; pairs that a component already joins are left out, which loses no component (labels between the rounds need not be final for that).
+3. all nodes exhaustively, those above SMALL members in pairs of blocks; pairs that a component already joins are left out,
+   which loses no component (labels between the rounds need not be final for that). Groups with more than FEW candidates a
+   member get the members' full sets and settle them in their own task, which gives at most one link a member.
 
-Every link is confirmed on full sets. The number of trees follows from the target recall. Null ids have no links (and are
-kept); rows that repeat an id share its component.
+Every link is confirmed on full sets. The number of trees follows from the target recall, counted over the COORDS coordinates
+that all trees share and the bound on sketch bits. Null ids have no links (and are kept); rows that repeat an id share its
+component.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ from .common import slices, text_bytes, written
 from .components import components
 from .words import LOWER, SPACE, mix, span_hashes, split
 
-COORDS, DEPTH, SMALL, FEW, DEEPEST, BEST = 64, 3, 1000, 200, 13, 4
+COORDS, DEPTH, SMALL, BEST = 64, 3, 1000, 4
+#: Candidate pairs a member of a node up to which they are joined with their sets one by one.
+FEW = 8
 #: Slots of the filter that spares most texts the shuffle to their candidates; a broadcast of no more rows than this.
 SLOTS = 1 << 20
 _WORDS = (~SPACE).astype(np.uint8)
@@ -38,19 +42,43 @@ _MULTIPLY = _RNG.integers(1, 1 << 31, COORDS, dtype=np.uint32) * np.uint32(2) +
 _XOR = _RNG.integers(0, 1 << 32, COORDS, dtype=np.uint64).astype(np.uint32)
 
 
+def _binomial(n: int, p: float) -> list[float]:
+    return [math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)]
+
+
 def most_bits(similarity: float) -> int:
-    """Bits that sketches of a pair of at least this similarity differ in at most, but for about 1 in a million."""
-    p = (1 - similarity) / 2
-    return math.ceil(64 * p + 4.8 * math.sqrt(64 * p * (1 - p)))
+    """Bits that sketches of a pair of at least this similarity differ in at most, but for 1 in a million."""
+    over, chances = 1.0, _binomial(64, (1 - similarity) / 2)
+    for bits, p in enumerate(chances):
+        over -= p
+        if over < 1e-6:
+            return bits
+    return 64
+
+
+def missed(similarity: float, trees: int, depth: int = DEPTH) -> float:
+    """Chance that a pair of this similarity shares no node of this depth in any tree, or that its sketches differ too much.
+
+    All trees draw from the same coordinates, so they are independent only given how many of those agree.
+    """
+    two, bits, out = 1 / similarity - 1, most_bits(similarity), 0.0
+    for agree, p in enumerate(_binomial(COORDS, similarity)):
+        meet = 1.0
+        for _ in range(depth):
+            one = agree / COORDS * meet
+            meet = (1 - two) * one + two * (1 - (1 - one) ** 2)
+        out += p * (1 - sum(_binomial(COORDS - agree, 0.5)[: bits + 1]) * (1 - (1 - meet) ** trees))
+    return out
 
 
 def tree_count(similarity: float, recall: float, depth: int = DEPTH) -> int:
-    """Trees so that a pair of this similarity shares a node of this depth in one of them with the chance `recall`."""
-    two, meet = 1 / similarity - 1, 1.0
-    for _ in range(depth):
-        one = similarity * meet
-        meet = (1 - two) * one + two * (1 - (1 - one) ** 2)
-    return math.ceil(math.log(1 - recall) / math.log(1 - meet))
+    """Trees so that a pair of this similarity becomes a candidate with the chance `recall`."""
+    trees = 1
+    while missed(similarity, trees, depth) > 1 - recall:
+        trees += 1
+        if trees > 1000:
+            raise ValueError(f"{COORDS} coordinates do not give a recall of {recall}")
+    return trees
 
 
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
@@ -117,32 +145,27 @@ def sketch_table(df: DataFrame, doc_id: str, text: str, width: int) -> DataFrame
     return rows.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sig long, mins binary")
 
 
-def path_rows(reps: DataFrame, similarity: float, trees: int, levels: int, deeper: bool = False) -> DataFrame:
-    """node, doc_id, n, sig: where each representative stands after `levels` more levels, from the roots or (deeper) from column node."""
+def path_rows(reps: DataFrame, similarity: float, trees: int, levels: int) -> DataFrame:
+    """node, doc_id, n, sig: where each representative stands after `levels` levels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             mins = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(-1, COORDS)
-            row = np.arange(len(mins))
-            if deeper:
-                node = batch.column(4).to_numpy().view(np.uint64)
-            else:
-                node = np.repeat(mix(np.arange(1, trees + 1, dtype=np.uint64)), len(mins))
-                row = np.tile(row, trees)
+            node = np.repeat(mix(np.arange(1, trees + 1, dtype=np.uint64)), len(mins))
+            row = np.tile(np.arange(len(mins)), trees)
             for _ in range(levels):
                 node, row = branch(node, row, mins, similarity)
             rest = [batch.column(i).take(pa.array(row)) for i in range(3)]
             yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *rest], names=["node", "doc_id", "n", "sig"])
 
-    return reps.select("doc_id", "n", "sig", "mins", *["node"] * deeper).mapInArrow(run, "node long, doc_id long, n long, sig long")
+    return reps.select("doc_id", "n", "sig", "mins").mapInArrow(run, "node long, doc_id long, n long, sig long")
 
 
-def confirmed(df: DataFrame, pairs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    need = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    need = written(need, "needed")
+def full_sets(df: DataFrame, ids: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """doc_id, set of the rows whose id is among `ids` (doc_id)."""
+    need = written(ids.distinct(), "needed")
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")
     rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).withColumn("slot", slot)
     rows = rows.join(F.broadcast(need.select(slot.alias("slot")).distinct()), "slot", "left_semi").select("doc_id", "text").join(need, "doc_id", "left_semi")
@@ -155,7 +178,16 @@ def confirmed(df: DataFrame, pairs: DataFrame, doc_id: str, text: str, width: in
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "set"])
                 at += len(part)
 
-    sets = written(rows.mapInArrow(run, "doc_id long, set binary"), "sets")
+    return written(rows.mapInArrow(run, "doc_id long, set binary"), "sets")
+
+
+def confirmed(df: DataFrame, pairs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    return _confirmed(pairs, full_sets(df, ids, doc_id, text, width), percent)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b").join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,51 +203,155 @@ def confirmed(df: DataFrame, pairs: DataFrame, doc_id: str, text: str, width: in
     return joined.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long").distinct()
 
 
-def _group_pairs(rows: DataFrame, percent: int, bits: int, best: int | None = None) -> DataFrame:
-    """Pairs (a, b) of different labels inside each node that size and sketch allow; nodes have up to SMALL rows.
-
-    best: of each row's pairs only so many, those of the most similar sketches.
-    """
+def _groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 50_000, most: int = 64 << 20) -> Iterator[pa.Table]:
+    """Tables of whole groups; a group is a run of rows with equal first `keys` columns (null-free long numbers)."""
+    held: list[pa.RecordBatch] = []
+    size = n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size, n = size + batch.nbytes, n + batch.num_rows
+        if n < rows and size < most:
+            continue
+        t = pa.Table.from_batches(held)
+        change = np.flatnonzero(_edges(t, keys))
+        last = int(change[-1])
+        if last:
+            yield t.slice(0, last)
+            t = t.slice(last)
+        held, size, n = t.combine_chunks().to_batches(), t.nbytes, t.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _edges(t: pa.Table, keys: int) -> np.ndarray:
+    """Whether each row begins a group."""
+    new = np.ones(t.num_rows, bool)
+    cols = [t.column(i).to_numpy() for i in range(keys)]
+    new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
+    return new
+
+
+def _best_pairs(rows: DataFrame, percent: int, bits: int, best: int) -> DataFrame:
+    """Of each row's pairs (a, b) of different labels inside each node of up to SMALL rows, those of the most similar sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(node, doc, n, sig, label):
-            edge = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]])) if len(node) else np.zeros(1, int)
-            a, b = [], []
+        for t in _groups(batches, 1):
+            doc, n, sig, label = (t.column(c).to_numpy() for c in ("doc_id", "n", "sig", "label"))
+            edge = np.append(np.flatnonzero(_edges(t, 1)), t.num_rows)
+            pairs = [np.zeros((2, 0), np.int64)]
             for s, e in zip(edge[:-1], edge[1:], strict=True):
-                if e - s < 2:
-                    continue
                 d, m, w, g = (x[s:e] for x in (doc, n, sig, label))
-                far = np.bitwise_count(w[:, None] ^ w)
-                ok = (g[:, None] != g) & (100 * np.minimum(m[:, None], m) >= percent * np.maximum(m[:, None], m)) & (far <= bits)
-                if best is not None and e - s > best:
+                far, ok = _allowed(m, w, g, m, w, g, percent, bits)
+                if e - s > best:
                     near = np.argpartition(np.where(ok, far, 255), best, axis=1)[:, :best]
                     some = np.zeros_like(ok)
                     np.put_along_axis(some, near, True, axis=1)
                     ok &= some
                 i, j = np.nonzero(ok)
-                pair = np.unique(np.stack([np.minimum(d[i], d[j]), np.maximum(d[i], d[j])]), axis=1)
-                a.append(pair[0])
-                b.append(pair[1])
-            flat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64))
-            return pa.RecordBatch.from_arrays([flat(a), flat(b)], names=["a", "b"])
-
-        held: list[np.ndarray] | None = None
-        for batch in batches:
-            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
-            if len(cols[0]) < 50_000:
-                held = cols
-                continue
-            last = int(np.searchsorted(cols[0], cols[0][-1]))
-            held = [c[last:] for c in cols]
-            yield pairs(*(c[:last] for c in cols))
-        if held is not None:
-            yield pairs(*held)
+                pairs.append(np.unique(np.stack([np.minimum(d[i], d[j]), np.maximum(d[i], d[j])]), axis=1))
+            a, b = np.concatenate(pairs, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     ordered = rows.select("node", "doc_id", "n", "sig", "label").repartition("node").sortWithinPartitions("node")
     return ordered.mapInArrow(run, "a long, b long")
 
 
+def _allowed(n, sig, label, m, gis, lebal, percent: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Differing sketch bits of each left with each right row, and whether labels differ while sizes and sketches allow a link."""
+    far = np.bitwise_count(sig[:, None] ^ gis)
+    return far, (label[:, None] != lebal) & (100 * np.minimum(n[:, None], m) >= percent * np.maximum(n[:, None], m)) & (far <= bits)
+
+
+def blocked(rows: DataFrame) -> DataFrame:
+    """rows with part and side: nodes of up to SMALL rows are one part (side -1); the rows of a larger one are dealt into
+    blocks, and each pair of blocks is a part (sides 0 and 1), so that every two rows meet in just one, or inside their block."""
+    small = rows.filter(F.col("size") <= SMALL).select("node", F.lit(0).cast("long").alias("part"), F.lit(-1).cast("long").alias("side"), "doc_id", "n", "sig", "label")
+    step = F.greatest(F.lit(SMALL / 2), F.least(F.lit(2.0 * SMALL), F.sqrt("size") * SMALL / 125))
+    large = rows.filter(F.col("size") > SMALL).withColumn("k", F.ceil(F.col("size") / step))
+    large = large.withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit(7)), "k")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+    part = F.least("own", "other") * F.col("k") + F.greatest("own", "other")
+    side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    return small.union(large.select("node", part.alias("part"), side.cast("long").alias("side"), "doc_id", "n", "sig", "label"))
+
+
+def candidates(parts: DataFrame, percent: int, bits: int) -> DataFrame:
+    """node, part, side, a, b, label: pairs of different labels that size and sketch allow; of parts with more than FEW pairs
+    a row, each row that has one (b is null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, 2):
+            cols = [c.to_numpy() for c in t.columns]
+            edge = np.append(np.flatnonzero(_edges(t, 2)), t.num_rows)
+            light, heavy = [np.zeros((2, 0), np.int64)], [np.zeros(0, np.int64)]
+            for s, e in zip(edge[:-1], edge[1:], strict=True):
+                _, _, side, d, m, w, g = (x[s:e] for x in cols)
+                within = bool((side < 0).all())
+                x, y = (np.arange(e - s),) * 2 if within else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+                _, ok = _allowed(m[x], w[x], g[x], m[y], w[y], g[y], percent, bits)
+                if np.count_nonzero(ok) / (1 + within) > FEW * (e - s):
+                    heavy.append(s + np.union1d(x[ok.any(axis=1)], y[ok.any(axis=0)]))
+                else:
+                    i, j = np.nonzero(ok)
+                    i, j = d[x[i]], d[y[j]]
+                    light.append(np.unique(np.stack([np.minimum(i, j), np.maximum(i, j)]), axis=1))
+            at, (a, b) = np.concatenate(heavy), np.concatenate(light, axis=1)
+            none = pa.nulls(len(a), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(a), pa.array(b), none], names=["node", "part", "side", "a", "b", "label"])
+            node, part, side, doc, _, _, label = (pa.array(c[at]) for c in cols)
+            yield pa.RecordBatch.from_arrays([node, part, side, doc, pa.nulls(len(at), pa.int64()), label], names=["node", "part", "side", "a", "b", "label"])
+
+    ordered = parts.repartition("node", "part").sortWithinPartitions("node", "part")
+    return ordered.mapInArrow(run, "node long, part long, side long, a long, b long, label long")
+
+
+def spanning(sets: list[np.ndarray], side: np.ndarray, label: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between rows of different labels whose sets reach the similarity, enough to join all that such links join.
+
+    side: -1 for all, else only rows of sides 0 and 1 are compared.
+    """
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    starts = np.cumsum(size) - size
+    token = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    mark = np.zeros(int(token.max()) + 1, bool)
+    names, now, counts = np.unique(label, return_inverse=True, return_counts=True)
+    main, links = int(np.argmax(counts)), []
+    for i in np.flatnonzero(now != main).tolist():
+        other = now != now[i]
+        if side[i] >= 0:
+            other &= side != side[i]
+        if not other.any():
+            continue
+        own = token[starts[i] : starts[i] + size[i]]
+        mark[own] = True
+        common = np.add.reduceat(mark[token], starts, dtype=np.int64)
+        mark[own] = False
+        hit = np.flatnonzero(other & (100 * common >= percent * (size + size[i] - common)))
+        joined, first = np.unique(now[hit], return_index=True)
+        links += [(i, j) for j in hit[first].tolist()]
+        now[np.isin(now, joined)] = now[i]
+    return links
+
+
+def settled_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) inside each part of the rows, compared on full sets in the part's task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, 2, most=16 << 20):
+            side, doc, label = (t.column(c).to_numpy() for c in ("side", "doc_id", "label"))
+            edge, out = np.append(np.flatnonzero(_edges(t, 2)), t.num_rows), []
+            for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                some = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("set").slice(s, e - s)]
+                out += [(s + i, s + j) for i, j in spanning(some, side[s:e], label[s:e], percent)]
+            i, j = np.array(out, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[i], doc[j])), pa.array(np.maximum(doc[i], doc[j]))], names=["a", "b"])
+
+    joined = rows.select("node", "part", "side", F.col("a").alias("doc_id"), "label").join(sets, "doc_id")
+    ordered = joined.select("node", "part", "side", "doc_id", "label", "set").repartition("node", "part").sortWithinPartitions("node", "part")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, recall: float = 0.99999) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept (one row id of each component stays)."""
     similarity = percent / 100
@@ -233,38 +369,23 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     links = written(confirmed(df, written(star.select(F.col("p").alias("a"), F.col("doc_id").alias("b")).distinct(), "star"), doc_id, text, width, percent), "links")
 
     def sized(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-        """Rows of nodes that hold more than one component, with the node's size and its largest component."""
+        """Rows of nodes that hold more than one component, with the node's size."""
         rows = written(nodes.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).drop("component"), "labelled")
         per = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("c"))
-        sizes = per.groupBy("node").agg(F.sum("c").alias("size"), F.max("c").alias("top"), F.max_by("label", "c").alias("main")).filter("size > top")
+        sizes = per.groupBy("node").agg(F.sum("c").alias("size"), F.max("c").alias("top")).filter("size > top").drop("top")
         return written(rows.join(sizes, "node"), "sized")
 
     nodes = nodes.select("node", "doc_id", "n", "sig")
     mixed = sized(nodes, components(links, rounds=1))
-    best = _group_pairs(mixed.filter(F.col("size") <= SMALL), percent, bits, BEST)
+    best = _best_pairs(mixed.filter(F.col("size") <= SMALL), percent, bits, BEST)
     links = written(links.union(confirmed(df, written(best.distinct(), "best"), doc_id, text, width, percent)), "links")
 
-    labels, nodes, found, level = components(links, rounds=2), mixed.select("node", "doc_id", "n", "sig"), [], DEPTH
-    while True:
-        mixed = sized(nodes, labels)
-        found.append(written(_group_pairs(mixed.filter(F.col("size") <= SMALL), percent, bits).distinct(), "pairs"))
-        large = mixed.filter(F.col("size") > SMALL)
-        if large.isEmpty():
-            break
-        few = (F.col("size") - F.col("top") <= FEW) | F.lit(level >= DEEPEST)
-        out = large.filter(few & (F.col("label") != F.col("main"))).select("node", F.col("doc_id").alias("o"), F.col("n").alias("on"), F.col("sig").alias("osig"), F.col("label").alias("olabel"))
-        against = large.filter(few).join(out, "node").filter((F.col("label") != F.col("olabel")) & alike(F.col("n"), F.col("on"), F.col("sig"), F.col("osig")))
-        found.append(against.select(F.least("doc_id", "o").alias("a"), F.greatest("doc_id", "o").alias("b")).distinct())
-        more = large.filter(~few)
-        if level >= DEEPEST or more.isEmpty():
-            break
-        deeper = path_rows(more.select("doc_id", "node").join(reps, "doc_id"), similarity, trees, 2, deeper=True)
-        shared = deeper.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("node")
-        nodes, level = written(deeper.join(shared, "node"), "nodes"), level + 2
-    pairs = found[0]
-    for x in found[1:]:
-        pairs = pairs.union(x)
-    more_links = confirmed(df, written(pairs.distinct(), "pairs"), doc_id, text, width, percent)
+    mixed = sized(mixed.select("node", "doc_id", "n", "sig"), components(links, rounds=2))
+    found = written(candidates(blocked(mixed), percent, bits), "candidates")
+    pairs, rows = written(found.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs"), found.filter("b IS NULL")
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(rows.select("a"))
+    sets = full_sets(df, ids, doc_id, text, width)
+    more_links = _confirmed(pairs, sets, percent).union(settled_links(rows, sets, percent))
     joined = components(links.union(more_links))
     of_class = classes.join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component"))
     out = table.join(of_class, ["h1", "h2"], "left")
