@@ -60,6 +60,16 @@ def collapse_mono(tx: DataFrame, member: str, by: list[str]) -> DataFrame:
     return tx.filter(~is_multi()).groupBy(*by, "tx_start", "tx_end").agg(F.sort_array(F.collect_list(member)).alias("members"))
 
 
+def chain_sizes(tx: DataFrame, member: str, by: list[str]) -> DataFrame:
+    """collapse_chains with the number n of members and the least, k, instead of all of them: rows stay small at any depth."""
+    return tx.filter(is_multi()).groupBy(*by, "chain").agg(F.min("tx_start").alias("tx_start"), F.max("tx_end").alias("tx_end"), F.count(member).alias("n"), F.min(member).alias("k"))
+
+
+def mono_sizes(tx: DataFrame, member: str, by: list[str]) -> DataFrame:
+    """collapse_mono with the number n of members and the least, k, instead of all of them."""
+    return tx.filter(~is_multi()).groupBy(*by, "tx_start", "tx_end").agg(F.count(member).alias("n"), F.min(member).alias("k"))
+
+
 def equal_to_all(df: DataFrame, values: dict[str, object]) -> DataFrame:
     """Rows whose columns equal all the given values."""
     for name, value in values.items():

@@ -126,9 +126,8 @@ def multi_exon_list(spark, sf) -> DataFrame:
 
 def _collapsed(spark, sf) -> tuple[DataFrame, DataFrame]:
     t = transcripts(spark, sf)
-    key = F.array_min("members").alias("k")
-    multi = CH.collapse_chains(t, "tx", PLACE).select(*PLACE, "chain", "tx_start", "tx_end", F.size("members").cast("long").alias("n"), key)
-    mono = CH.collapse_mono(t, "tx", PLACE).select(*PLACE, "tx_start", "tx_end", F.size("members").cast("long").alias("n"), key)
+    multi = CH.chain_sizes(t, "tx", PLACE).select(*PLACE, "chain", "tx_start", "tx_end", "n", "k")
+    mono = CH.mono_sizes(t, "tx", PLACE).select(*PLACE, "tx_start", "tx_end", "n", "k")
     return multi, mono
 
 
