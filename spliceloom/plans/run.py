@@ -34,7 +34,7 @@ class Assembly:
 
 
 def assemble(spark: SparkSession, manifest_path: str, alignments: str = "long_read_hq", threshold: int = 50, accepted: DataFrame | None = None) -> Assembly:
-    """Runs every phase. alignments: the manifest column with PAF paths. accepted: transcript ids to keep (column isoform)."""
+    """Runs every phase but mutation matching and fusions; reads no long_read_lq. alignments: the manifest column with PAF paths. accepted: transcript ids to keep (column isoform)."""
     manifest = read_manifest(spark, manifest_path, ("sample", alignments))
     samples = sorted(r["sample"] for r in manifest.select("sample").collect())
     paf = A.quality_filter(read_samples(spark, manifest, alignments, read_paf), threshold)
