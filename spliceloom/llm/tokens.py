@@ -3,8 +3,8 @@
 A text is cut where the tokenizer's own pre-tokenizer always cuts (before a space that a visible character follows, or at
 white space that the normaliser drops), so the ids of a text are the ids of its chunks in order. A chunk that is a Latin
 word with or without ASCII punctuation after it is one or two pre-tokens and goes straight to the tokenizer's model;
-any other chunk is encoded as a text. Texts with U+001C to U+001F, which Python and the tokenizer class differently, are
-encoded whole. Strings of special tokens are ordinary text.
+any other chunk is encoded as a text. Texts with U+001C to U+001F, which Python and the tokenizer class differently, and
+texts that hold the string of an added token, which the tokenizer turns into that token's id, are encoded whole.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ import numpy as np
 #: Chunks kept in each of two generations by a worker.
 MOST = 400_000
 _BYTE_CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-_ODD = re.compile("[\x1c-\x1f]")
 #: A Latin word (U+0130 lower-cases to two characters) and punctuation without the apostrophe.
 _PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\[-`{-~]*)\Z")
 
@@ -33,9 +32,10 @@ class Encoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits are not supported")
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join(["[\x1c-\x1f]", *added]), re.I)
         self.bytewise = self.tokenizer.normalizer is None
         self.model = self.tokenizer.model
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -76,7 +76,7 @@ class Encoder(dict):
             if len(self) > MOST:
                 self.old = dict(self)
                 self.clear()
-            out.append(self.whole(t) if _ODD.search(t) else b"".join(map(self.__getitem__, cut(t))))
+            out.append(self.whole(t) if self.odd.search(t) else b"".join(map(self.__getitem__, cut(t))))
         return out
 
 

@@ -116,10 +116,11 @@ def test_tokens_equal_the_library(texts):
 
     rng = random.Random(2)
     fuzz = ["".join(rng.choice("ab 's\n\t 　é漢0１½̈!'.\x1c<|endoftext|>Aİſ ") for _ in range(rng.randrange(40))) for _ in range(300)]
+    special = ["x <|endoftext|> y", "<|endoftext|>", "a<|startoftext|>b <|ENDOFTEXT|>", "<|endoftext|><|endoftext|> 's", "<|endoftex t|>"]
+    special += ["".join(rng.choice(["<|endoftext|>", "<|startoftext|>", "a", " ", "\n", "'s", "é", "<|", "|>"]) for _ in range(rng.randrange(12))) for _ in range(300)]
     for path in (WORDS, BYTES):
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        some = [x or "" for x in texts] + fuzz
+        some = [x or "" for x in texts] + fuzz + special
         want = [np.array(e.ids, "<u2").tobytes() for e in t.encode_batch(some, add_special_tokens=False)]
         assert tokens.Encoder(path).encode(some) == want
 
