@@ -7,7 +7,7 @@ a second) lead to the children named by its minwise tokens there. Nodes of one m
 
 1. each node's smallest member with the others; confirmed links give components;
 2. in nodes of up to SMALL members, each member with the BEST most similar sketches outside its component;
-3. all nodes exhaustively, those above SMALL members in pairs of blocks; pairs that a component already joins are left out,
+3. all nodes exhaustively, those above WHOLE members in pairs of blocks; pairs that a component already joins are left out,
    which loses no component (labels between the rounds need not be final for that). Groups with more than FEW candidates a
    member get the members' full sets and settle them in their own task, which gives at most one link a member.
 
@@ -31,9 +31,15 @@ from .common import slices, text_bytes, written
 from .components import components
 from .words import LOWER, SPACE, mix, span_hashes, split
 
-COORDS, DEPTH, SMALL, BEST = 64, 3, 1000, 4
+COORDS, DEPTH, SMALL, BEST = 128, 3, 1000, 4
+#: Rows up to which a node is compared in one task; a larger one is dealt into blocks of half as many at least.
+WHOLE = 3000
+#: Left rows compared at once with all rows of their part.
+STRIP = 256
 #: Candidate pairs a member of a node up to which they are joined with their sets one by one.
 FEW = 8
+#: Bytes of sets that go to a Python worker at once.
+BATCH = 16 << 20
 #: Slots of the filter that spares most texts the shuffle to their candidates; a broadcast of no more rows than this.
 SLOTS = 1 << 20
 _WORDS = (~SPACE).astype(np.uint8)
@@ -48,12 +54,12 @@ def _binomial(n: int, p: float) -> list[float]:
 
 def most_bits(similarity: float) -> int:
     """Bits that sketches of a pair of at least this similarity differ in at most, but for 1 in a million."""
-    over, chances = 1.0, _binomial(64, (1 - similarity) / 2)
+    over, chances = 1.0, _binomial(COORDS, (1 - similarity) / 2)
     for bits, p in enumerate(chances):
         over -= p
         if over < 1e-6:
             return bits
-    return 64
+    return COORDS
 
 
 def missed(similarity: float, trees: int, depth: int = DEPTH) -> float:
@@ -99,7 +105,7 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
 
 
 def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Minwise tokens (sets, COORDS) and one bit of each as a 64-bit number; empty sets get zeros."""
+    """Minwise tokens (sets, COORDS) and one bit of each, 64 to a number; empty sets get zeros."""
     size = np.fromiter(map(len, sets), np.int64, len(sets))
     mins = np.zeros((len(sets), COORDS), np.uint32)
     full = np.flatnonzero(size)
@@ -111,8 +117,8 @@ def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
             y ^= y >> np.uint32(15)
             y *= np.uint32(0x2C1B3C6D)
             mins[full, c] = np.minimum.reduceat(y, at)
-    bits = (mix(mins.astype(np.uint64)) & np.uint64(1)) << np.arange(64, dtype=np.uint64)
-    return mins, np.bitwise_or.reduce(bits, axis=1)
+    bits = np.packbits((mins ^ mins >> np.uint32(7) ^ mins >> np.uint32(19)).astype(np.uint8) & 1, axis=1)
+    return mins, bits.view(np.int64)
 
 
 def branch(node: np.ndarray, row: np.ndarray, mins: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +132,7 @@ def branch(node: np.ndarray, row: np.ndarray, mins: np.ndarray, similarity: floa
 
 
 def sketch_table(df: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """doc_id, n, h1, h2 (hash of the set), sig, mins of every row."""
+    """doc_id, n, h1, h2 (hash of the set), sig and gis (sketch bits), mins of every row."""
     rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,30 +143,30 @@ def sketch_table(df: DataFrame, doc_id: str, text: str, width: int) -> DataFrame
                 mins, sig = sketches(sets)
                 whole = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(part)), pa.array(np.fromiter(map(len, sets), np.int64, len(sets))), pa.array(whole[:, 0]), pa.array(whole[:, 1]), pa.array(sig.view(np.int64)), pa.array([m.tobytes() for m in mins], pa.binary())],
-                    names=["doc_id", "n", "h1", "h2", "sig", "mins"],
+                    [batch.column(0).slice(at, len(part)), pa.array(np.fromiter(map(len, sets), np.int64, len(sets))), pa.array(whole[:, 0]), pa.array(whole[:, 1]), pa.array(sig[:, 0]), pa.array(sig[:, 1]), pa.array([m.tobytes() for m in mins], pa.binary())],
+                    names=["doc_id", "n", "h1", "h2", "sig", "gis", "mins"],
                 )
                 at += len(part)
 
-    return rows.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sig long, mins binary")
+    return rows.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sig long, gis long, mins binary")
 
 
 def path_rows(reps: DataFrame, similarity: float, trees: int, levels: int) -> DataFrame:
-    """node, doc_id, n, sig: where each representative stands after `levels` levels."""
+    """node, doc_id, n, sig, gis: where each representative stands after `levels` levels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            mins = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(-1, COORDS)
+            mins = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint32).reshape(-1, COORDS)
             node = np.repeat(mix(np.arange(1, trees + 1, dtype=np.uint64)), len(mins))
             row = np.tile(np.arange(len(mins)), trees)
             for _ in range(levels):
                 node, row = branch(node, row, mins, similarity)
-            rest = [batch.column(i).take(pa.array(row)) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *rest], names=["node", "doc_id", "n", "sig"])
+            rest = [batch.column(i).take(pa.array(row)) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), *rest], names=["node", "doc_id", "n", "sig", "gis"])
 
-    return reps.select("doc_id", "n", "sig", "mins").mapInArrow(run, "node long, doc_id long, n long, sig long")
+    return reps.select("doc_id", "n", "sig", "gis", "mins").mapInArrow(run, "node long, doc_id long, n long, sig long, gis long")
 
 
 def full_sets(df: DataFrame, ids: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
@@ -181,6 +187,17 @@ def full_sets(df: DataFrame, ids: DataFrame, doc_id: str, text: str, width: int)
     return written(rows.mapInArrow(run, "doc_id long, set binary"), "sets")
 
 
+def small_batches(df: DataFrame, label: str) -> DataFrame:
+    """df as a written table; rows with sets go to Python in batches of about BATCH bytes, so that memory follows the batch."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = conf.get(key)
+    conf.set(key, str(BATCH))
+    try:
+        return written(df, label)
+    finally:
+        conf.set(key, was)
+
+
 def confirmed(df: DataFrame, pairs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
@@ -200,7 +217,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(both) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long").distinct()
+    return small_batches(joined.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long"), "links")
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int, rows: int = 50_000, most: int = 64 << 20) -> Iterator[pa.Table]:
@@ -238,42 +255,49 @@ def _best_pairs(rows: DataFrame, percent: int, bits: int, best: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 1):
-            doc, n, sig, label = (t.column(c).to_numpy() for c in ("doc_id", "n", "sig", "label"))
-            edge = np.append(np.flatnonzero(_edges(t, 1)), t.num_rows)
+            doc, *rest = (t.column(c).to_numpy() for c in ("doc_id", *_SKETCH))
+            edge = np.append(np.flatnonzero(_edges(t, 1)), t.num_rows).tolist()
             pairs = [np.zeros((2, 0), np.int64)]
             for s, e in zip(edge[:-1], edge[1:], strict=True):
-                d, m, w, g = (x[s:e] for x in (doc, n, sig, label))
-                far, ok = _allowed(m, w, g, m, w, g, percent, bits)
-                if e - s > best:
-                    near = np.argpartition(np.where(ok, far, 255), best, axis=1)[:, :best]
-                    some = np.zeros_like(ok)
-                    np.put_along_axis(some, near, True, axis=1)
-                    ok &= some
-                i, j = np.nonzero(ok)
-                pairs.append(np.unique(np.stack([np.minimum(d[i], d[j]), np.maximum(d[i], d[j])]), axis=1))
+                for at in range(s, e, STRIP):
+                    far, ok = _allowed([x[at : min(e, at + STRIP)] for x in rest], [x[s:e] for x in rest], percent, bits)
+                    if e - s > best:
+                        near = np.argpartition(np.where(ok, far, 255), best, axis=1)[:, :best]
+                        some = np.zeros_like(ok)
+                        np.put_along_axis(some, near, True, axis=1)
+                        ok &= some
+                    i, j = np.nonzero(ok)
+                    i, j = doc[at + i], doc[s + j]
+                    pairs.append(np.unique(np.stack([np.minimum(i, j), np.maximum(i, j)]), axis=1))
             a, b = np.concatenate(pairs, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    ordered = rows.select("node", "doc_id", "n", "sig", "label").repartition("node").sortWithinPartitions("node")
+    ordered = rows.select("node", "doc_id", *_SKETCH).repartition("node").sortWithinPartitions("node")
     return ordered.mapInArrow(run, "a long, b long")
 
 
-def _allowed(n, sig, label, m, gis, lebal, percent: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Differing sketch bits of each left with each right row, and whether labels differ while sizes and sketches allow a link."""
-    far = np.bitwise_count(sig[:, None] ^ gis)
-    return far, (label[:, None] != lebal) & (100 * np.minimum(n[:, None], m) >= percent * np.maximum(n[:, None], m)) & (far <= bits)
+#: What a comparison of rows looks at before their sets.
+_SKETCH = ["n", "sig", "gis", "label"]
+
+
+def _allowed(x: list[np.ndarray], y: list[np.ndarray], percent: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Differing sketch bits of each left (_SKETCH) with each right row, and whether labels differ while sizes and sketches allow a link."""
+    n, sig, gis, label = (c[:, None] for c in x)
+    far = np.bitwise_count(sig ^ y[1]) + np.bitwise_count(gis ^ y[2])
+    return far, (label != y[3]) & (100 * n >= percent * y[0]) & (percent * n <= 100 * y[0]) & (far <= bits)
 
 
 def blocked(rows: DataFrame) -> DataFrame:
-    """rows with part and side: nodes of up to SMALL rows are one part (side -1); the rows of a larger one are dealt into
+    """rows with part and side: nodes of up to WHOLE rows are one part (side -1); the rows of a larger one are dealt into
     blocks, and each pair of blocks is a part (sides 0 and 1), so that every two rows meet in just one, or inside their block."""
-    small = rows.filter(F.col("size") <= SMALL).select("node", F.lit(0).cast("long").alias("part"), F.lit(-1).cast("long").alias("side"), "doc_id", "n", "sig", "label")
-    step = F.greatest(F.lit(SMALL / 2), F.least(F.lit(2.0 * SMALL), F.sqrt("size") * SMALL / 125))
-    large = rows.filter(F.col("size") > SMALL).withColumn("k", F.ceil(F.col("size") / step))
-    large = large.withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit(7)), "k")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+    zero = F.lit(0).cast("long")
+    small = rows.filter(F.col("size") <= WHOLE).select("node", zero.alias("part"), F.lit(-1).cast("long").alias("side"), "doc_id", *_SKETCH)
+    step = F.greatest(F.lit(WHOLE / 2), F.least(F.lit(2.0 * WHOLE), F.sqrt("size") * WHOLE / 125))
+    large = rows.filter(F.col("size") > WHOLE).withColumn("k", F.ceil(F.col("size") / step))
+    large = large.withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit(7)), "k")).withColumn("other", F.explode(F.sequence(zero, F.col("k") - 1)))
     part = F.least("own", "other") * F.col("k") + F.greatest("own", "other")
     side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    return small.union(large.select("node", part.alias("part"), side.cast("long").alias("side"), "doc_id", "n", "sig", "label"))
+    return small.union(large.select("node", part.alias("part"), side.cast("long").alias("side"), "doc_id", *_SKETCH))
 
 
 def candidates(parts: DataFrame, percent: int, bits: int) -> DataFrame:
@@ -286,20 +310,28 @@ def candidates(parts: DataFrame, percent: int, bits: int) -> DataFrame:
             edge = np.append(np.flatnonzero(_edges(t, 2)), t.num_rows)
             light, heavy = [np.zeros((2, 0), np.int64)], [np.zeros(0, np.int64)]
             for s, e in zip(edge[:-1], edge[1:], strict=True):
-                _, _, side, d, m, w, g = (x[s:e] for x in cols)
+                _, _, side, d, *rest = (x[s:e] for x in cols)
                 within = bool((side < 0).all())
                 x, y = (np.arange(e - s),) * 2 if within else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-                _, ok = _allowed(m[x], w[x], g[x], m[y], w[y], g[y], percent, bits)
-                if np.count_nonzero(ok) / (1 + within) > FEW * (e - s):
-                    heavy.append(s + np.union1d(x[ok.any(axis=1)], y[ok.any(axis=0)]))
+                some, right = np.zeros(e - s, bool), [c[y] for c in rest]
+                found, pairs = 0, [np.zeros((2, 0), np.int64)]
+                for at in range(0, len(x), STRIP):
+                    left = x[at : at + STRIP]
+                    _, ok = _allowed([c[left] for c in rest], right, percent, bits)
+                    found += np.count_nonzero(ok) / (1 + within)
+                    some[left] |= ok.any(axis=1)
+                    some[y] |= ok.any(axis=0)
+                    if found <= FEW * (e - s):
+                        i, j = np.nonzero(ok)
+                        pairs.append(np.stack([d[left[i]], d[y[j]]]))
+                if found > FEW * (e - s):
+                    heavy.append(s + np.flatnonzero(some))
                 else:
-                    i, j = np.nonzero(ok)
-                    i, j = d[x[i]], d[y[j]]
-                    light.append(np.unique(np.stack([np.minimum(i, j), np.maximum(i, j)]), axis=1))
+                    light.append(np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1))
             at, (a, b) = np.concatenate(heavy), np.concatenate(light, axis=1)
             none = pa.nulls(len(a), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, none, pa.array(a), pa.array(b), none], names=["node", "part", "side", "a", "b", "label"])
-            node, part, side, doc, _, _, label = (pa.array(c[at]) for c in cols)
+            node, part, side, doc, *_, label = (pa.array(c[at]) for c in cols)
             yield pa.RecordBatch.from_arrays([node, part, side, doc, pa.nulls(len(at), pa.int64()), label], names=["node", "part", "side", "a", "b", "label"])
 
     ordered = parts.repartition("node", "part").sortWithinPartitions("node", "part")
@@ -338,7 +370,7 @@ def settled_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) inside each part of the rows, compared on full sets in the part's task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _groups(batches, 2, most=16 << 20):
+        for t in _groups(batches, 2, most=BATCH):
             side, doc, label = (t.column(c).to_numpy() for c in ("side", "doc_id", "label"))
             edge, out = np.append(np.flatnonzero(_edges(t, 2)), t.num_rows), []
             for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
@@ -349,7 +381,7 @@ def settled_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     joined = rows.select("node", "part", "side", F.col("a").alias("doc_id"), "label").join(sets, "doc_id")
     ordered = joined.select("node", "part", "side", "doc_id", "label", "set").repartition("node", "part").sortWithinPartitions("node", "part")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return small_batches(ordered.mapInArrow(run, "a long, b long"), "links")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, recall: float = 0.99999) -> DataFrame:
@@ -359,14 +391,15 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     table = written(sketch_table(df, doc_id, text, width), "sketches")  # mins are read once more, for the representatives
     real = table.filter("n > 0 AND doc_id IS NOT NULL")
     classes = written(real.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = written(table.join(classes, ["h1", "h2"]).filter("doc_id = rep").select("doc_id", "n", "sig", "mins"), "representatives")
-    alike = lambda n, m, x, y: (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.bit_count(x.bitwiseXOR(y)) <= bits)
+    reps = written(table.join(classes, ["h1", "h2"]).filter("doc_id = rep").select("doc_id", "n", "sig", "gis", "mins"), "representatives")
+    differ = lambda c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"p.{c}")))
 
     paths = path_rows(reps, similarity, trees, DEPTH)
-    first = paths.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("p"), F.min_by("n", "doc_id").alias("pn"), F.min_by("sig", "doc_id").alias("psig")).filter("size > 1")
+    first = paths.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("doc_id", "n", "sig", "gis")).alias("p")).filter("size > 1")
     nodes = written(paths.join(first, "node"), "nodes")
-    star = nodes.filter((F.col("doc_id") != F.col("p")) & alike(F.col("n"), F.col("pn"), F.col("sig"), F.col("psig")))
-    links = written(confirmed(df, written(star.select(F.col("p").alias("a"), F.col("doc_id").alias("b")).distinct(), "star"), doc_id, text, width, percent), "links")
+    near = (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")) & (differ("sig") + differ("gis") <= bits)
+    star = nodes.filter((F.col("doc_id") != F.col("p.doc_id")) & near).select(F.col("p.doc_id").alias("a"), F.col("doc_id").alias("b"))
+    links = confirmed(df, written(star.distinct(), "star"), doc_id, text, width, percent)
 
     def sized(nodes: DataFrame, labels: DataFrame) -> DataFrame:
         """Rows of nodes that hold more than one component, with the node's size."""
@@ -375,12 +408,12 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         sizes = per.groupBy("node").agg(F.sum("c").alias("size"), F.max("c").alias("top")).filter("size > top").drop("top")
         return written(rows.join(sizes, "node"), "sized")
 
-    nodes = nodes.select("node", "doc_id", "n", "sig")
+    nodes = nodes.select("node", "doc_id", "n", "sig", "gis")
     mixed = sized(nodes, components(links, rounds=1))
     best = _best_pairs(mixed.filter(F.col("size") <= SMALL), percent, bits, BEST)
-    links = written(links.union(confirmed(df, written(best.distinct(), "best"), doc_id, text, width, percent)), "links")
+    links = links.union(confirmed(df, written(best.distinct(), "best"), doc_id, text, width, percent))
 
-    mixed = sized(mixed.select("node", "doc_id", "n", "sig"), components(links, rounds=2))
+    mixed = sized(mixed.select("node", "doc_id", "n", "sig", "gis"), components(links, rounds=2))
     found = written(candidates(blocked(mixed), percent, bits), "candidates")
     pairs, rows = written(found.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs"), found.filter("b IS NULL")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(rows.select("a"))

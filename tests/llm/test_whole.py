@@ -45,10 +45,10 @@ def test_spanning_links_join_what_all_links_join(sides):
 def test_stated_recall_holds_over_shared_coordinates():
     trees, bits, two = minhash.tree_count(0.8, 0.99999), minhash.most_bits(0.8), 0.25
     rng = np.random.default_rng(0)
-    agree = rng.binomial(64, 0.8, 2_000_000)
+    agree = rng.binomial(minhash.COORDS, 0.8, 2_000_000)
     meet = np.ones(len(agree))
     for _ in range(minhash.DEPTH):
-        one = agree / 64 * meet
+        one = agree / minhash.COORDS * meet
         meet = (1 - two) * one + two * (1 - (1 - one) ** 2)
     assert np.mean((1 - meet) ** trees) < 1e-5
-    assert np.mean(rng.binomial(64 - agree, 0.5) > bits) < 3e-6
+    assert np.mean(rng.binomial(minhash.COORDS - agree, 0.5) > bits) < 3e-6
