@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,21 +11,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spliceloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
@@ -44,6 +36,11 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def sampled(key: Column, share: float, salt: int) -> Column:
+    """Whether a row is among about `share` of all, by a 64-bit hash of its key; a small share is never rounded to none."""
+    return F.xxhash64(key, F.lit(salt)) < F.lit(min(-(1 << 63) + int(share * 2.0**64), (1 << 63) - 1))
+
+
 def slices(arr: pa.Array, most: int = 2 << 20) -> Iterator[pa.Array]:
     """Consecutive parts of a string array with about `most` bytes each, one text at least; nulls become empty."""
     arr = pc.fill_null(arr.cast(pa.large_string()), "")

@@ -53,7 +53,8 @@ def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits
     rows = written(digests(df, doc_id, text).drop("__hex"), "digests")
     best = F.struct("__neg", F.coalesce(F.col("__id").cast("long"), F.lit(_NO_ID)).alias("__id"))
     runs = rows.groupBy("__run", *_KEY).agg(F.min(best).alias("__best"), F.count(F.lit(1)).alias("__size"))
-    groups = merge_rounds(runs, df.rdd.getNumPartitions()).select(*_KEY, "__best", "__size")
+    n_runs = rows.agg(F.max("__run")).first()[0]
+    groups = merge_rounds(runs, 1 + (n_runs or 0), bits).select(*_KEY, "__best", "__size")
     keep = F.when(F.col("__best.__id") != _NO_ID, F.col("__best.__id"))
     return rows.join(groups, _KEY).select(
         F.col("__id").alias(doc_id), keep.alias("keep_id"), F.col("__size").alias("group_size"),
@@ -63,13 +64,19 @@ def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits
 
 
 def drop_exact_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df without later copies, all columns. Rows that repeat an id become one; rows without an id stay."""
-    groups = written(exact_groups(df, doc_id, text).select(F.col(doc_id).alias("__gone"), "kept"), "groups").filter("__gone IS NOT NULL")
+    """df without later copies, all columns. Rows that repeat an id and a text become one; rows without an id stay."""
+    groups = exact_groups(df, doc_id, text).select(F.col(f"`{doc_id}`").alias("__gone"), "kept", F.col("text_sha256").alias("__sha"))
+    groups = written(groups, "groups").filter("__gone IS NOT NULL")
     by_id = groups.groupBy("__gone").agg(F.count(F.lit(1)).alias("__rows"), F.max("kept").alias("__kept"))
     same = F.col(f"`{doc_id}`") == F.col("__gone")
     once = df.join(by_id.filter("NOT __kept OR __rows > 1").select("__gone"), same, "left_anti")
-    repeated = by_id.filter("__kept AND __rows > 1").select("__gone")
-    return once if repeated.isEmpty() else once.unionByName(df.join(repeated, same, "left_semi").dropDuplicates([doc_id]))
+    repeated = by_id.filter("__rows > 1").select("__gone")
+    if repeated.isEmpty():
+        return once
+    own = F.sha2(normalised(F.col(f"`{text}`")).cast("binary"), 256)
+    rows = df.join(repeated, same, "left_semi").join(groups.filter("kept").select("__gone", "__sha").distinct(), same & (own == F.col("__sha")), "left_semi")
+    best = rows.groupBy(F.col(f"`{doc_id}`").alias("__gone"), own.alias("__sha")).agg(F.max_by(F.struct(*(F.col(f"`{c}`") for c in df.columns)), F.coalesce(F.length(f"`{text}`"), F.lit(0))).alias("__row"))
+    return once.unionByName(best.select("__row.*"))
 
 
 SQL = """

@@ -2,7 +2,8 @@
 
 Words are runs of letters and digits or of other marks. Features are hashed 1-, 2- and 3-grams over the words and over
 their shapes (case, class, length, repetition of the word before); a text's value for each is its share of the text.
-Empty and null texts have the bias alone and still get a score. Rows are scored alone; extra columns pass through.
+Empty and null texts have the bias alone and still get a score. Rows are scored alone, repeated ones each; extra columns
+pass through; an empty table gives no rows, and without labelled rows every score is 0.5. Ties at the threshold pass.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, slices, text_bytes
+from .common import fold, sampled, slices, text_bytes
 from .words import KIND, LOWER, mix, span_hashes, split
 
 BITS = 18
@@ -90,8 +91,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality", max_r
     """
     rows = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 5) != 0))
     share = min(1.0, max_rows / max(1, rows.count()))
-    picked = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(share * 1_000_000)
-    sample = rows.filter(picked).groupBy("doc_id").agg(F.min(label).cast("int").alias("__y")).limit(2 * max_rows)
+    sample = rows.filter(sampled(F.col("doc_id"), share, 11)).groupBy("doc_id").agg(F.min(label).cast("int").alias("__y")).limit(2 * max_rows)
 
     @F.arrow_udf("binary")
     def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

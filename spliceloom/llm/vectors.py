@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import sampled, written
 from .components import components
 
 SAMPLE, CENTRES, CLUSTER, SHARD = 16_384, 512, 400, 2_000
@@ -207,7 +207,7 @@ def linked(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lea
     stats = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
     n, dim = stats["n"], stats["d"] or 1
     share = min(1.0, SAMPLE / max(1, n))
-    sample = classes.filter(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < int(share * 1_000_000)).select("v").limit(2 * SAMPLE).toArrow()
+    sample = classes.filter(sampled(F.col("rep"), share, 0)).select("v").limit(2 * SAMPLE).toArrow()
     if not sample.num_rows:
         sample = classes.select("v").limit(1).toArrow()
     x = matrix(sample.column(0), dim) if sample.num_rows else np.ones((1, dim)) / np.sqrt(dim)
@@ -268,7 +268,7 @@ def linked(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", lea
 def audit(classes: DataFrame, counts: DataFrame, least: float, dim: int, queries: int = AUDIT) -> float:
     """Links found of the links that brute force over all rows finds, for a bounded sample of classes that have some or none."""
     share = min(1.0, queries / max(1, classes.count()))
-    picked = classes.filter(F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("rep", "v").limit(queries)
+    picked = classes.filter(sampled(F.col("rep"), share, 1)).select("rep", "v").limit(queries)
     linked_too = counts.filter("n > 0").orderBy(F.xxhash64("rep")).limit(queries).join(classes, "rep").select("rep", "v")
     sample = picked.union(linked_too).distinct().toArrow()
     if not sample.num_rows:

@@ -69,6 +69,8 @@ def test_exact(docs, empty):
     kept = exact.drop_exact_copies(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {min(g)[1] for g in want.values()}
     assert exact.exact_groups(empty).count() == 0
+    rows = docs.sparkSession.createDataFrame([(1, "aa"), (1, "bb"), (2, "cc"), (1, "a a"), (None, "aa"), (None, "aa"), (2, "cc"), (3, "b b "), (3, "b b ")], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.text) for r in exact.drop_exact_copies(rows).collect()) == [(0, "aa"), (0, "aa"), (1, "a a"), (2, "cc"), (3, "b b ")]
     twice = docs.filter("text = 'one'")
     assert exact.drop_exact_copies(twice.union(twice)).count() == 1
 
@@ -275,16 +277,19 @@ def test_pieces_on_tables(docs, empty):
 
 def test_language_model():
     words_ = {"en": Counter({"the": 50, "then": 20, "nation": 10}), "de": Counter({"der": 50, "dern": 20, "heit": 10})}
-    vocab = [p for p in "t h e n a i o d r th he the en der er na tion heit".split()]
+    vocab = [p for p in "t h e n a i o d r th he the en der er na tion heit nation".split()]
     m = langid.fit(words_, vocab)
     keys, p = m.keys, m.probs[:, m.languages.index("en")]
     number = {x: int(np.searchsorted(keys, langid.piece_keys([x])[0])) for x in vocab}
 
     def total(w):
-        return 1.0 if not w else sum((p[number[w[:k]]] if w[:k] in number else p[-1] if k == 1 else 0.0) * total(w[k:]) for k in range(1, min(5, len(w)) + 1))
+        return 1.0 if not w else sum((p[number[w[:k]]] if w[:k] in number else p[-1] if k == 1 else 0.0) * total(w[k:]) for k in range(1, min(6, len(w)) + 1))
 
-    for w in ("the", "thenation", "xheit"):
+    for w in ("the", "thenation", "xheit", "themation" + "then" * 2, "ationation"):
         assert math.isclose(math.exp(langid.word_logs([w], m)[0, m.languages.index("en")]), total(w), rel_tol=1e-6)
+    long = "then" * 200  # a word of 800 letters: as many segmentations as fit no double
+    en = m.languages.index("en")
+    assert math.isclose(langid.word_logs([long, "the"], m)[0, en] / langid.word_logs(["then" * 100], m)[0, en], 2, rel_tol=0.01)
     assert [x for x, _ in langid.judge(["the nation", "heit der", "", "12 !!", "n" * 500], m)][:4] == ["en", "de", "und", "und"]
 
 
