@@ -33,13 +33,24 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as spark.checkpoint.dir names it; a local session that names none gets one of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="spliceloom-")
+    return _own[context.applicationId]
+
+
 def settled(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the folder that driver and executors share: computed once, kept when executors go."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spliceloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/settled-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
