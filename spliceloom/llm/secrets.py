@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -81,6 +83,9 @@ def entropy_spans(text: str, window: int, taken: list[tuple[int, int, str]]) ->
     """Dense parts of candidate strings that no allow rule and no other span covers."""
     found: list = []
     for name, pattern, least in _CLASSES:
+        # matches of one class are apart, so only earlier spans can cover one: of those that start before it, the farthest end tells
+        spans = sorted([*taken, *found])
+        starts, reach = [a for a, _, _ in spans], list(accumulate((b for _, _, b in spans), max))
         for m in pattern.finditer(text):
             s = m.group()
             if name == "base64" and not all(p.search(s) for p in _MIXED) or any(p.search(s) for p in ALLOWED):
@@ -88,7 +93,8 @@ def entropy_spans(text: str, window: int, taken: list[tuple[int, int, str]]) ->
             if (part := dense_part(s, window, least)) is None:
                 continue
             start, end = m.start() + part[0], m.start() + part[1]
-            if not any(a <= start and end <= b for a, _, b in [*taken, *found]):
+            i = bisect_right(starts, start)
+            if not i or reach[i - 1] < end:
                 found.append((start, 3, end))
     return found
 

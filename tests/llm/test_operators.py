@@ -242,6 +242,23 @@ def test_entropy_windows():
     assert secrets.spans_of("key exampleQ7Zp1Lw9XkT4bVn8RsY2mD end") == []  # allow-listed
 
 
+def test_entropy_spans_that_no_other_span_covers():
+    rng = random.Random(8)
+    for _ in range(60):
+        t = " ".join(rng.choice(["token=" + "".join(rng.choices("abcdefABCDEF0123456789+/", k=rng.randrange(10, 40))), "".join(rng.choices("abcdefABCDEF0123456789", k=30)), "0a1b2c3d4e5f60718293a4b5", "word", "é" * 3]) for _ in range(12))
+        base, want = secrets.base_spans(t), []
+        for name, pattern, least in secrets._CLASSES:
+            for m in pattern.finditer(t):
+                s = m[0]
+                if name == "base64" and not all(p.search(s) for p in secrets._MIXED) or any(p.search(s) for p in secrets.ALLOWED):
+                    continue
+                if part := secrets.dense_part(s, 20, least):
+                    a, b = m.start() + part[0], m.start() + part[1]
+                    if not any(x <= a and b <= y for x, _, y in base + want):
+                        want.append((a, 3, b))
+        assert secrets.entropy_spans(t, 20, base) == want
+
+
 def test_secrets_on_tables(docs, empty):
     d = by_id(secrets.digest(docs))
     assert len(d) == docs.count() and all(r.spans == "" for r in d.values())
