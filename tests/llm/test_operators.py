@@ -80,9 +80,10 @@ def test_merge_rounds_any_fan_in(docs):
     assert sorted(map(tuple, exact.exact_groups(docs, bits=1).collect())) == want
 
 
-def test_repeats(docs, empty):
-    got, seen = by_id(repeats.repeat_digest(docs)), set()
-    for i, t in local(docs):
+def removed_by_hand(rows):
+    """(n_bytes, n_removed, n_spans, kept_sha256) of (id, text) rows in order."""
+    seen, out = set(), []
+    for _, t in rows:
         raw = t.encode()
         gone = bytearray(len(raw))
         for p in range(len(raw) - 99):
@@ -90,27 +91,59 @@ def test_repeats(docs, empty):
             if s in seen:
                 gone[p : p + 100] = b"\1" * 100
             seen.add(s)
-        spans = len(re.findall(b"\1+", bytes(gone)))
         kept = hashlib.sha256(bytes(b for b, g in zip(raw, gone, strict=True) if not g)).hexdigest()
-        r = got[i]
-        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(raw), sum(gone), spans, kept)
-    assert repeats.repeat_digest(empty).count() == 0
-    assert repeats.remove_repeats(docs).columns == docs.columns
+        out.append((len(raw), sum(gone), len(re.findall(b"\1+", bytes(gone))), kept))
+    return out
+
+
+@pytest.mark.parametrize("hot", [30_000, 2])
+def test_repeats(docs, empty, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)
+    got, data = by_id(repeats.repeat_digest(docs)), local(docs)
+    for (i, _), want in zip(data, removed_by_hand(data), strict=True):
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == want
+    if hot > 2:
+        assert repeats.repeat_digest(empty).count() == 0
+        assert repeats.remove_repeats(docs).columns == docs.columns
+
+
+def test_repeats_of_rows_that_share_an_id(spark):
+    rng = random.Random(4)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(1, a + b), (1, b + c), (1, a + b), (2, c + a), (None, a), (3, None), (3, c), (4, "z" * 500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    key = {r.text: r.h for r in df.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()}
+    order = sorted({(i, key[t], t or "") for i, t in rows if i})
+    want = sorted((i, *w) for (i, _, t), w in zip(order, removed_by_hand([(i, t) for i, _, t in order]), strict=True) for _ in range(2 if t == a + b else 1))
+    got = sorted(tuple(r) for r in repeats.repeat_digest(df).collect() if r.doc_id)
+    assert got == want
 
 
-def test_suffix_ranks():
+def test_longest_previous_factors():
     rng = np.random.default_rng(0)
     raw = rng.integers(97, 99, 400, dtype=np.uint8)
-    whole = raw.tobytes() + b"\0" * 20
+    whole, at = raw.tobytes(), np.arange(380)
     want = [whole[i : i + 20] for i in range(380)]
-    rank = repeats.truncated_ranks(raw, 20)[:380]
+    levels = repeats.suffix_ranks(raw, 20)
     order = {s: k for k, s in enumerate(sorted(set(want)))}
-    assert np.array_equal(np.unique(rank, return_inverse=True)[1], [order[s] for s in want])
+    assert np.array_equal(np.unique(levels[-1][1][:380], return_inverse=True)[1], [order[s] for s in want])
     place = rng.permutation(380)
-    first = {}
-    for s, p in zip(want, place, strict=True):
-        first[s] = min(p, first.get(s, p))
-    assert repeats.covered_starts(rank, place).tolist() == [first[s] < p for s, p in zip(want, place, strict=True)]
+
+    def common(i, j):
+        return next((k for k in range(20) if want[i][k] != want[j][k]), 20)
+
+    factors = [max((common(i, j) for j in range(380) if place[j] < place[i]), default=0) for i in range(380)]
+    assert repeats.longest_previous_factors(raw, levels, at, place).tolist() == factors
+
+
+def test_settling_holds_over_batches(spark, docs, monkeypatch):
+    want = sorted(map(tuple, repeats.repeat_digest(docs).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    monkeypatch.setattr(repeats, "SCANNED", 5)
+    try:
+        assert sorted(map(tuple, repeats.repeat_digest(docs).collect())) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_tokens_equal_the_library(texts):
@@ -362,3 +395,9 @@ def test_vectors(spark):
     for i in (5000, 5001, 5002, 5003, 5004):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
     assert vectors.near_vectors(spark.createDataFrame([], VEC)).count() == 0
+
+
+def test_vectors_that_share_an_id_and_large_components(spark):
+    rows = [(1, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.1]), (2, [1.0, 0.1]), (3, [1e200, 1e199]), (4, [-1.0, 0.0]), (-7, [0.0, 3.0])]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert got == sorted([(1, 1, -7), (1, 3, 1), (2, 3, 1), (2, 3, 1), (3, 3, 1), (4, 0, 4), (-7, 1, -7)])
