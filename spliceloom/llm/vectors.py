@@ -9,7 +9,9 @@ in the first shard its two ends share. `audit` measures recall against brute for
 search is repeated with more overlap.
 
 Null, empty, zero and non-finite vectors, or those with null components, link with nothing; so do rows with a null id.
-Vectors of different lengths count as padded with zeros. Ids that repeat are summed as rows of their vector class.
+Vectors of different lengths count as padded with zeros. Rows that repeat an id count as rows each; those with different
+vectors belong to different classes and may be in different components. Extra columns are ignored; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ def matrix(col: pa.Array, dim: int) -> np.ndarray:
     values, ends = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
     size = np.diff(ends)
     out[np.arange(dim) < size[:, None]] = values
+    out /= np.abs(out).max(axis=1, initial=0.0)[:, None]  # squares of very large or small components stay in range
     return out / np.sqrt((out * out).sum(axis=1))[:, None]
 
 
@@ -173,11 +176,20 @@ def local_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def _classes(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """Equal valid vectors: rep (least id), size, vector."""
+    """Equal valid vectors: rep (a key of the class: its least id, or a number below all ids if several classes have that id), id (least), size, v."""
     v = F.col(f"`{vector}`")
     finite = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))) & F.exists(v, lambda c: c != 0)
     rows = df.select(F.col(f"`{vec_id}`").cast("long").alias("id"), v.alias("v")).filter(F.col("id").isNotNull() & v.isNotNull() & finite)
-    return rows.groupBy("v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"))
+    classes = written(rows.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size")), "vectors")
+    shared = classes.groupBy("id").count().filter("count > 1")
+    if shared.isEmpty():
+        return classes.select("v", F.col("id").alias("rep"), "id", "size")
+    # rows of one id with different vectors: such classes get keys of their own, below all ids
+    least = F.least(F.min("id"), F.lit(0))
+    base = classes.agg(least.alias("b")).first()["b"]
+    several = written(classes.join(shared.select("id"), "id").withColumn("rep", F.lit(base) - 1 - F.monotonically_increasing_id()), "several")
+    single = classes.join(shared.select("id"), "id", "left_anti").withColumn("rep", F.col("id"))
+    return single.select("v", "rep", "id", "size").union(several.select("v", "rep", "id", "size"))
 
 
 def _assigned(classes: DataFrame, centres: np.ndarray, overlap: int, dim: int) -> DataFrame:
@@ -203,7 +215,7 @@ def _unit(t: pa.Table, name: str = "v") -> np.ndarray:
 def linked(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", least: float = 0.9, overlap: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(classes, counts, links): per class its links to other classes weighted by their sizes, and links that span components."""
     spark = df.sparkSession
-    classes = written(_classes(df, vec_id, vector), "vectors")
+    classes = _classes(df, vec_id, vector)
     stats = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
     n, dim = stats["n"], stats["d"] or 1
     share = min(1.0, SAMPLE / max(1, n))
@@ -299,7 +311,8 @@ def near_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
         overlap *= 2
     joined = components(links)
     of = classes.join(counts, "rep", "left").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
-    of = of.select(F.col("v").alias("__v"), (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("__n"), F.coalesce("component", "rep").alias("__component"))
+    of = of.select("v", "id", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("__n"), F.coalesce("component", "rep").alias("key"))
+    of = of.join(of.groupBy("key").agg(F.min("id").alias("__component")), "key").select(F.col("v").alias("__v"), "__n", "__component")
     rows = df.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").alias("__vector"))
     out = rows.join(of, (F.col("__vector") == F.col("__v")) & F.col("vec_id").isNotNull(), "left")
     component = F.coalesce("__component", "vec_id")
