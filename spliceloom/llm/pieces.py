@@ -3,8 +3,9 @@
 A text is encoded as a merge-type (BPE) SentencePiece model does: white space becomes U+2581, one is put in front, and
 candidate merges leave an agenda best score first, leftmost first. A keyed hash of seed, variant, place and the two
 symbols decides whether a candidate is skipped for good; other candidates still merge, so segmentations vary while their
-pieces spell the same text. The variant of a text, one of `variants`, follows from the seed and the text; with
-dropout 0 the ids are the model's own. Characters without a piece, and U+2581 itself, become byte pieces, so decoding
+pieces spell the same text. The variant of a chunk (a word with the space before it), one of `variants`, is a keyed hash of
+the seed, the whole text and where in the text the chunk stands, so that repeats of a word differ inside a document and
+between documents; with dropout 0 the ids are the model's own. Characters without a piece, and U+2581 itself, become byte pieces, so decoding
 always gives the text back. Null texts encode to null; the digest counts them as empty, and an empty text has no ids.
 """
 
@@ -28,7 +29,7 @@ SPACE = "▁"
 #: Chunks longer than this go through a heap one by one; shorter ones merge in step, by length.
 LONG = 96
 #: Chunks that a worker keeps in each of two generations.
-MOST = 400_000
+MOST = 250_000
 _CHUNK = re.compile(r"▁*[^▁\n￹]+|▁+|\n|￹")
 _HIDDEN = "￹"  # stands for U+2581 and for itself while a text is cut; both become byte pieces
 
@@ -36,7 +37,7 @@ _HIDDEN = "￹"  # stands for U+2581 and for itself while a text is cut; both be
 class Codec:
     """Encoder and decoder of one model file."""
 
-    def __init__(self, path: str, dropout: float = 0.0, seed: int = 0, variants: int = 4):
+    def __init__(self, path: str, dropout: float = 0.0, seed: int = 0, variants: int = 16):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -185,24 +186,36 @@ class Codec:
                 part = group[i : i + 10_000]
                 known.update(zip(part, self.in_step(part, variant), strict=True))
 
+    def _kinds(self, text: str, n: int) -> list[int]:
+        """Variant of each of the n chunks of a text."""
+        if self.variants == 1:
+            return [0] * n
+        key = mix(np.array([zlib.crc32(text.encode()) | (int(self.seed) & 0xFFFFFFFF) << 32], np.uint64))
+        return (mix(key + np.arange(n, dtype=np.uint64)) % np.uint64(self.variants)).tolist()
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         out = []
         if sum(map(len, self.known)) > MOST:
             self.old, self.known = self.known, [{} for _ in self.known]
-        cut: list[tuple[int, list[str]]] = []
+        cut: list[tuple[list, list[str]]] = []
+        need: list[set[str]] = [set() for _ in self.known]
         for t in texts:
             chunks = _CHUNK.findall((" " + t).replace(SPACE, _HIDDEN).replace(" ", SPACE)) if t else []
-            variant = (zlib.crc32(t.encode()) + int(self.seed)) % self.variants
-            cut.append((variant, chunks))
-        for v, known in enumerate(self.known):
-            self.learn(list(set().union(*(c for w, c in cut if w == v)) - known.keys()), v)
-        for t, (v, chunks) in zip(texts, cut, strict=True):
+            kinds = self._kinds(t, len(chunks))
+            cut.append((kinds, chunks))
+            for v, c in zip(kinds, chunks, strict=True):
+                if c not in self.known[v]:
+                    need[v].add(c)
+        for v, some in enumerate(need):
+            self.learn(list(some), v)
+        known = self.known
+        for t, (kinds, chunks) in zip(texts, cut, strict=True):
             if SPACE in t or _HIDDEN in t:
                 hidden = (np.array([self.byte[b] for b in c.encode()], "<i4").tobytes() for c in t if c in (SPACE, _HIDDEN))
-                parts = [next(hidden) if c == _HIDDEN else self.known[v][c] for c in chunks]
+                parts = [next(hidden) if c == _HIDDEN else known[v][c] for v, c in zip(kinds, chunks, strict=True)]
             else:
-                parts = map(self.known[v].__getitem__, chunks)
+                parts = [known[v][c] for v, c in zip(kinds, chunks, strict=True)]
             out.append(np.frombuffer(b"".join(parts), "<i4"))
         return out
 
@@ -222,13 +235,13 @@ def codec(path: str, dropout: float, seed: int, variants: int) -> Codec:
     return _codecs[key]
 
 
-def encode(text: Column, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4) -> Column:
+def encode(text: Column, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 16) -> Column:
     """Ids of each text as array<int>."""
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         own, nulls, out = codec(path, dropout, seed, variants), texts.is_null().to_pylist(), []
-        for part in slices(texts, 8 << 20):
+        for part in slices(texts, 4 << 20):
             out += own.encode(part.to_pylist())
         return pa.array([None if n else x for x, n in zip(out, nulls, strict=True)], pa.list_(pa.int32()))
 
@@ -246,7 +259,7 @@ def decode(ids: Column, path: str) -> Column:
     return texts(ids)
 
 
-def round_trip(df: DataFrame, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4) -> DataFrame:
+def round_trip(df: DataFrame, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 16) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_crc32 (ids as little-endian 32-bit numbers), decoded_sha256, lossless."""
 
     @F.arrow_udf("struct<n:long,crc:long,sha:string>")
