@@ -77,10 +77,10 @@ def sam_body(exons: DataFrame, variants: DataFrame, genome: DataFrame, by: str,
 
 
 def sam_header(fasta: DataFrame, program: str = "spliceloom") -> DataFrame:
-    """@SQ line per sequence (id, sequence) and a @PG line, in order."""
-    sq = fasta.select(F.lit(1).alias("o"), F.concat(F.lit("@SQ\tSN:"), "id", F.lit("\tLN:"), F.length("sequence").cast("string")).alias("value"))
-    pg = fasta.limit(1).select(F.lit(2).alias("o"), F.lit(f"@PG\tID:{program}\tPN:{program}").alias("value"))
-    return sq.unionByName(pg).orderBy("o", "value").select("value")
+    """@SQ line per sequence (id, sequence) in the order of the table, then a @PG line."""
+    sq = fasta.select(F.lit(1).alias("o"), F.monotonically_increasing_id().alias("n"), F.concat(F.lit("@SQ\tSN:"), "id", F.lit("\tLN:"), F.length("sequence").cast("string")).alias("value"))
+    pg = fasta.limit(1).select(F.lit(2).alias("o"), F.lit(0).cast("long").alias("n"), F.lit(f"@PG\tID:{program}\tPN:{program}").alias("value"))
+    return sq.unionByName(pg).orderBy("o", "n").select("value")
 
 
 def known_chromosomes(rows: DataFrame, fasta: DataFrame) -> tuple[DataFrame, DataFrame]:

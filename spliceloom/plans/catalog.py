@@ -181,15 +181,17 @@ def mono_in_mono(spark, sf) -> DataFrame:
 
 
 def _two(spark, sf, with_exons: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The transcripts of samples 0 and 1, and those of samples 2 and 3."""
     t = transcripts(spark, sf, with_exons)
-    return t.filter("sample = 's0'").drop("sample"), t.filter("sample = 's1'").drop("sample")
+    early = F.col("sample").isin("s0", "s1")
+    return t.filter(early).drop("sample"), t.filter(~early).drop("sample")
 
 
 def _pairs(df: DataFrame) -> DataFrame:
     return df.select("tx", "tx_y")
 
 
-_XY = T_SQL + ", x AS (SELECT * FROM t WHERE sample = 's0'), y AS (SELECT * FROM t WHERE sample = 's1')"
+_XY = T_SQL + ", x AS (SELECT * FROM t WHERE sample IN ('s0', 's1')), y AS (SELECT * FROM t WHERE sample NOT IN ('s0', 's1'))"
 _ON = "x.seqname = y.seqname AND x.strand = y.strand"
 _MATCH = f"SELECT x.tx, y.tx AS tx_y FROM x JOIN y ON {_ON} AND x.chain = y.chain WHERE x.chain <> '-'"
 _OVER = f"SELECT x.tx, y.tx AS tx_y FROM x JOIN y ON {_ON} AND x.tx_start <= y.tx_end AND y.tx_start <= x.tx_end WHERE x.chain = '-' AND y.chain = '-'"
@@ -217,9 +219,8 @@ def tx_join_edge_tolerate(spark, sf) -> DataFrame:
 
 @query(f"""WITH {_XY},
 c AS (SELECT x.tx, y.tx AS tx_y, x.tx_start AS s, x.tx_end AS e, x.chain AS c FROM x JOIN y ON {_ON} AND contains(y.chain, x.chain) AND y.tx_start <= x.tx_start AND x.tx_end <= y.tx_end),
-h AS (SELECT c.tx, c.tx_y, c.c, bool_or(ex."start" <= c.s AND c.s <= ex."end") AS hs, bool_or(ex."start" <= c.e AND c.e <= ex."end") AS he,
-        bool_or(ex."start" <= c.s AND c.e <= ex."end") AS one FROM c JOIN ex ON ex.tx = c.tx_y GROUP BY 1, 2, 3)
-SELECT tx, tx_y FROM h WHERE CASE WHEN c = '-' THEN one ELSE hs AND he END""")
+h AS (SELECT c.tx, c.tx_y, c.c, bool_or(ex."start" <= c.s AND c.s <= ex."end") AS hs, bool_or(ex."start" <= c.e AND c.e <= ex."end") AS he FROM c JOIN ex ON ex.tx = c.tx_y GROUP BY 1, 2, 3)
+SELECT tx, tx_y FROM h WHERE hs AND he""")
 def tx_join_include(spark, sf) -> DataFrame:
     return _pairs(TJ.include(*_two(spark, sf, True), PLACE))
 
@@ -310,10 +311,13 @@ def existence_matrix(spark, sf) -> DataFrame:
 _TYPES = ["click", "view", "purchase"]
 
 
-@query("SELECT user_id, " + ", ".join(f"COUNT(*) FILTER (WHERE event_type = '{t}') AS {t}" for t in _TYPES) + " FROM events WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 1")
+_EVERY = [*_TYPES, "signup", "error"]
+
+
+@query('SELECT user_id AS "Name", ' + ", ".join(f"CAST(NULLIF(COUNT(*) FILTER (WHERE event_type = '{t}'), 0) AS VARCHAR) AS {t}" for t in _EVERY) + " FROM events GROUP BY 1")
 def expression_matrix(spark, sf) -> DataFrame:
-    e = table(spark, sf, "events").filter(F.col("event_type").isin(_TYPES)).select("user_id", F.col("event_type").alias("sample"), F.lit(1).alias("n"))
-    return CO.matrix(e, ["user_id"], "n", _TYPES)
+    e = table(spark, sf, "events").groupBy(F.col("user_id").alias("Name"), F.col("event_type").alias("sample")).agg(F.count(F.lit(1)).cast("string").alias("n"))
+    return CO.expression(e, "n", _EVERY)
 
 
 @query("""SELECT sample, cluster_id, COUNT(*) FILTER (WHERE l_returnflag = 'R') AS fl, COUNT(*) FILTER (WHERE l_returnflag IN ('A', 'N')) AS nfl
@@ -334,11 +338,11 @@ def counts_from_ids(spark, sf) -> DataFrame:
     return line.select("l_orderkey", "l_linenumber", fl.alias("fl"), nfl.alias("nfl"))
 
 
-@query(f"WITH {T_SQL} SELECT tx, sample, chain, tx_start, tx_end FROM t JOIN orders ON tx = o_orderkey WHERE chain <> '-' AND o_orderstatus = 'F'")
+@query(f"""WITH {T_SQL} SELECT sample, tx AS seq_id, chain, seqname AS chr, strand, tx_start AS "start", tx_end AS "end" FROM t WHERE chain <> '-'""")
 def range_link(spark, sf) -> DataFrame:
-    t = transcripts(spark, sf).filter(CH.is_multi())
-    o = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("tx"))
-    return t.join(o, "tx").select("tx", "sample", "chain", "tx_start", "tx_end")
+    t = transcripts(spark, sf).withColumnsRenamed({"tx": "seq_id", "seqname": "chr"})
+    rows = t.withColumns({"type": F.when(CH.is_multi(), "~").otherwise("*"), "tx_start": F.col("tx_start") - 1})
+    return CO.range_links(t.select("sample", "seq_id", "chain"), rows)
 
 
 @query("SELECT p_partkey, reverse(translate(upper(p_name), 'ACGT', 'TGCA')) AS rc FROM part")
@@ -410,12 +414,12 @@ def exon_number(spark, sf) -> DataFrame:
 
 
 _CALLS = f"""WITH {VAR_SQL},
-c AS (SELECT id + 1 AS id, type, var_start, var_end, ref, alt FROM va WHERE id % 3 = 0 AND type <> '~' UNION SELECT id, type, var_start, var_end, ref, alt FROM va WHERE id % 5 = 0 AND type <> '~')"""
+c AS (SELECT DISTINCT id, type, var_start + id % 3 AS var_start, var_end + id % 3 AS var_end, ref, alt FROM va WHERE type <> '~')"""
 
 
 def _variant_sets(spark, sf) -> tuple[DataFrame, DataFrame]:
     v = cs_variants(spark, sf).drop("pos").filter("type <> '~'").withColumnsRenamed({"var_start": "start", "var_end": "end"})
-    calls = v.filter("id % 3 = 0").withColumn("id", F.col("id") + 1).union(v.filter("id % 5 = 0")).distinct()
+    calls = v.withColumns({"start": F.col("start") + F.col("id") % 3, "end": F.col("end") + F.col("id") % 3}).distinct()
     return v, calls
 
 
@@ -462,9 +466,9 @@ def variant_alt_start(spark, sf) -> DataFrame:
 
 
 _SV = f"""WITH {I_SQL},
-j AS (SELECT id, 's' || CAST(g % 4 AS VARCHAR) AS sample, st AS up_chr, CASE WHEN g % 2 = 0 THEN '+' ELSE '-' END AS up_strand, s % 5000 AS up_pos, 'c' || CAST(g % 2 AS VARCHAR) AS down_chr, CASE WHEN id % 2 = 0 THEN '+' ELSE '-' END AS down_strand, e % 5000 AS down_pos FROM iv),
-v AS (SELECT o_orderkey AS sv, 's' || CAST(o_custkey % 4 AS VARCHAR) AS sample, ['click', 'view', 'purchase'][CAST(o_orderkey % 3 + 1 AS INT)] AS c1, o_custkey * 7 % 5000 AS p1, CASE WHEN o_custkey % 2 = 0 THEN '+' ELSE '-' END AS d1,
-      'c' || CAST(o_orderkey % 2 AS VARCHAR) AS c2, o_orderkey * 11 % 5000 AS p2, CASE WHEN o_orderkey % 5 < 2 THEN '+' ELSE '-' END AS d2 FROM orders WHERE o_orderkey % 10 = 0),
+j AS (SELECT id, 's' || CAST(g % 4 AS VARCHAR) AS sample, st AS up_chr, CASE WHEN g % 2 = 0 THEN '+' ELSE '-' END AS up_strand, s // 5000 % 5 * 1000000 + s % 5000 AS up_pos, 'c' || CAST(g % 2 AS VARCHAR) AS down_chr, CASE WHEN id % 2 = 0 THEN '+' ELSE '-' END AS down_strand, e // 5000 % 5 * 1000000 + e % 5000 AS down_pos FROM iv),
+v AS (SELECT o_orderkey AS sv, 's' || CAST(o_custkey % 4 AS VARCHAR) AS sample, ['click', 'view', 'purchase'][CAST(o_orderkey % 3 + 1 AS INT)] AS c1, o_custkey * 7 // 5000 % 5 * 1000000 + o_custkey * 7 % 5000 AS p1, CASE WHEN o_custkey % 2 = 0 THEN '+' ELSE '-' END AS d1,
+      'c' || CAST(o_orderkey % 2 AS VARCHAR) AS c2, o_orderkey * 11 // 5000 % 5 * 1000000 + o_orderkey * 11 % 5000 AS p2, CASE WHEN o_orderkey % 5 < 2 THEN '+' ELSE '-' END AS d2 FROM orders),
 f AS (SELECT sv, sample, c1, p1, d1, c2, p2, CASE d2 WHEN '+' THEN '-' ELSE '+' END AS d2 FROM v UNION ALL SELECT sv, sample, c1, p1, CASE d1 WHEN '+' THEN '-' ELSE '+' END, c2, p2, d2 FROM v),
 o AS (SELECT sv, sample, c1 AS uc, p1 AS up, d1 AS ud, c2 AS dc, p2 AS dp, d2 AS dd FROM f UNION ALL SELECT sv, sample, c2, p2, d2, c1, p1, d1 FROM f),
 m AS (SELECT j.*, sv, up, dp FROM j JOIN o ON j.sample = o.sample AND up_chr = uc AND down_chr = dc AND up_strand = ud AND down_strand = dd)"""
@@ -473,13 +477,14 @@ m AS (SELECT j.*, sv, up, dp FROM j JOIN o ON j.sample = o.sample AND up_chr = u
 def _sv_sets(spark, sf) -> tuple[DataFrame, DataFrame]:
     sign = lambda even: F.when(even, "+").otherwise("-")
     s = lambda c: F.concat(F.lit("s"), (F.col(c) % 4).cast("string"))
+    place = lambda c: F.floor(c / 5000) % 5 * 1_000_000 + c % 5000
     j = intervals(spark, sf).select(
-        "id", s("g").alias("sample"), F.col("st").alias("up_chr"), sign(F.col("g") % 2 == 0).alias("up_strand"), (F.col("s") % 5000).alias("up_pos"),
-        F.concat(F.lit("c"), (F.col("g") % 2).cast("string")).alias("down_chr"), sign(F.col("id") % 2 == 0).alias("down_strand"), (F.col("e") % 5000).alias("down_pos"),
+        "id", s("g").alias("sample"), F.col("st").alias("up_chr"), sign(F.col("g") % 2 == 0).alias("up_strand"), place(F.col("s")).alias("up_pos"),
+        F.concat(F.lit("c"), (F.col("g") % 2).cast("string")).alias("down_chr"), sign(F.col("id") % 2 == 0).alias("down_strand"), place(F.col("e")).alias("down_pos"),
     )
-    v = table(spark, sf, "orders").filter("o_orderkey % 10 = 0").select(
-        F.col("o_orderkey").alias("sv"), s("o_custkey").alias("sample"), F.get(F.array(*map(F.lit, _TYPES)), (F.col("o_orderkey") % 3).cast("int")).alias("Chr_1"), (F.col("o_custkey") * 7 % 5000).alias("Pos_1"), sign(F.col("o_custkey") % 2 == 0).alias("Dir_1"),
-        F.concat(F.lit("c"), (F.col("o_orderkey") % 2).cast("string")).alias("Chr_2"), (F.col("o_orderkey") * 11 % 5000).alias("Pos_2"), sign(F.col("o_orderkey") % 5 < 2).alias("Dir_2"), F.lit("").alias("Inserted_Seq"),
+    v = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("sv"), s("o_custkey").alias("sample"), F.get(F.array(*map(F.lit, _TYPES)), (F.col("o_orderkey") % 3).cast("int")).alias("Chr_1"), place(F.col("o_custkey") * 7).alias("Pos_1"), sign(F.col("o_custkey") % 2 == 0).alias("Dir_1"),
+        F.concat(F.lit("c"), (F.col("o_orderkey") % 2).cast("string")).alias("Chr_2"), place(F.col("o_orderkey") * 11).alias("Pos_2"), sign(F.col("o_orderkey") % 5 < 2).alias("Dir_2"), F.lit("").alias("Inserted_Seq"),
     )
     return j, v
 

@@ -81,7 +81,8 @@ def read_gtf(spark: SparkSession, path, columns: list[str] | None = None) -> Dat
 
 def read_fasta(spark: SparkSession, path) -> DataFrame:
     """id (to the first white space), description, sequence; sequences may span lines."""
-    rows = spark.read.option("lineSep", ">").text(path).filter(F.length(F.trim("value")) > 0)
+    rows = spark.read.option("lineSep", "\n>").text(path).filter(F.length(F.trim("value")) > 0)
+    rows = rows.select(F.regexp_replace("value", "^>", "").alias("value"))  # the first record keeps its mark
     head, rest = F.substring_index("value", "\n", 1), F.regexp_replace(F.expr("substr(value, instr(value, '\n') + 1)"), r"\s", "")
     out = rows.select(F.regexp_replace(head, "\r", "").alias("__h"), rest.alias("sequence"))
     return out.select(F.regexp_extract("__h", r"^(\S*)", 1).alias("id"), F.regexp_extract("__h", r"^\S*\s+(.*)$", 1).alias("description"), "sequence")

@@ -178,3 +178,26 @@ def test_stream(spark, tmp_path):
     q = s.writeStream.format("memory").queryName("tok").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     q.awaitTermination(60)
     assert spark.sql("SELECT token FROM tok ORDER BY pos").toPandas().token.tolist() == ["3", "+g", "2"]
+
+
+def test_fasta_marks_inside_descriptions(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    (tmp_path / "f" / "a.fa").write_text(">a kinase A>B\nAC\nGT\n>b\r\nTT\r\n>c\nGG")
+    assert sorted(map(tuple, text.read_fasta(spark, str(tmp_path / "f")).collect())) == [("a", "kinase A>B", "ACGT"), ("b", "", "TT"), ("c", "", "GG")]
+
+
+def test_inclusion_of_ends_in_different_exons(spark):
+    from spliceloom.operators import txjoin
+
+    kind = "tx string, seqname string, strand string, chain string, tx_start long, tx_end long, exons array<struct<start:long,end:long>>"
+    y = spark.createDataFrame([("y", "c", "+", "-200 300-", 100, 400, [(100, 200), (300, 400)])], kind)
+    rows = [("over", "-", 150, 350), ("in", "-", 310, 350), ("gap", "-", 150, 250), ("spliced", "-200 300-", 120, 380), ("long", "-200 300-", 90, 380), ("other", "-210 300-", 120, 380)]
+    x = spark.createDataFrame([(n, "c", "+", c, a, b, [(a, b)]) for n, c, a, b in rows], kind)
+    assert sorted(r.tx for r in txjoin.include(x, y, ["seqname", "strand"]).collect()) == ["in", "over", "spliced"]
+
+
+def test_partly_matched_partial_reads(spark):
+    junctions = spark.createDataFrame([("s", "r", i, "c", p, "+", "c", 90_000, "+", "sj_not_confirmed") for i, p in ((1, 1_000), (2, 50_000))], "sample string, seq_id string, sv_number int, up_chr string, up_pos long, up_strand string, down_chr string, down_pos long, down_strand string, sv_type string")
+    classes = spark.createDataFrame([("s", "r", "partial")], "sample string, seq_id string, read_class string")
+    sv = spark.createDataFrame([("s", "c", 1_050, "+", "c", 90_010, "-", "---")], "sample string, Chr_1 string, Pos_1 long, Dir_1 string, Chr_2 string, Pos_2 long, Dir_2 string, Inserted_Seq string")
+    assert [tuple(r) for r in FU.match_classes(junctions, classes, sv).collect()] == [("s", "r", "partial")]
