@@ -75,3 +75,8 @@ def equal_to_all(df: DataFrame, values: dict[str, object]) -> DataFrame:
     for name, value in values.items():
         df = df.filter(F.col(name) == F.lit(value))
     return df
+
+
+def introns_in(chain: str) -> Column:
+    """Introns of the chains in a column, such as `-110 200-210 300-`."""
+    return F.split(F.expr(f"substr({chain}, 2, length({chain}) - 2)"), "-")
