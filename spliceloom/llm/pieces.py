@@ -29,7 +29,7 @@ SPACE = "▁"
 #: Chunks longer than this go through a heap one by one; shorter ones merge in step, by length.
 LONG = 96
 #: Chunks that a worker keeps in each of two generations.
-MOST = 500_000
+MOST = 400_000
 _CHUNK = re.compile(r"▁*[^▁\n￹]+|▁+|\n|￹")
 _HIDDEN = "￹"  # stands for U+2581 and for itself while a text is cut; both become byte pieces
 
@@ -37,7 +37,7 @@ _HIDDEN = "￹"  # stands for U+2581 and for itself while a text is cut; both be
 class Codec:
     """Encoder and decoder of one model file."""
 
-    def __init__(self, path: str, dropout: float = 0.0, seed: int = 0, variants: int = 6):
+    def __init__(self, path: str, dropout: float = 0.0, seed: int = 0, variants: int = 4):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -235,13 +235,13 @@ def codec(path: str, dropout: float, seed: int, variants: int) -> Codec:
     return _codecs[key]
 
 
-def encode(text: Column, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 6) -> Column:
+def encode(text: Column, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4) -> Column:
     """Ids of each text as array<int>."""
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         own, nulls, out = codec(path, dropout, seed, variants), texts.is_null().to_pylist(), []
-        for part in slices(texts, 4 << 20):
+        for part in slices(texts, 6 << 20):
             out += own.encode(part.to_pylist())
         return pa.array([None if n else x for x, n in zip(out, nulls, strict=True)], pa.list_(pa.int32()))
 
@@ -259,7 +259,7 @@ def decode(ids: Column, path: str) -> Column:
     return texts(ids)
 
 
-def round_trip(df: DataFrame, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 6) -> DataFrame:
+def round_trip(df: DataFrame, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_crc32 (ids as little-endian 32-bit numbers), decoded_sha256, lossless."""
 
     @F.arrow_udf("struct<n:long,crc:long,sha:string>")
