@@ -11,6 +11,7 @@ always gives the text back. Null texts encode to null; the digest counts them as
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import re
@@ -28,28 +29,42 @@ from .words import mix
 SPACE = "▁"
 #: Chunks longer than this go through a heap one by one; shorter ones merge in step, by length.
 LONG = 96
+#: Segmentations that a chunk can have in a corpus.
+VARIANTS = 4
 #: Chunks that a worker keeps in each of two generations.
 MOST = 400_000
 _CHUNK = re.compile(r"▁*[^▁\n￹]+|▁+|\n|￹")
 _HIDDEN = "￹"  # stands for U+2581 and for itself while a text is cut; both become byte pieces
 
 
-class Codec:
-    """Encoder and decoder of one model file."""
+class Decoder:
+    """Decoder of one model file."""
 
-    def __init__(self, path: str, dropout: float = 0.0, seed: int = 0, variants: int = 4):
+    def __init__(self, path: str):
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.size = model.get_piece_size()
+        self.pieces = [model.id_to_piece(i) for i in range(self.size)]
+        self.bytes = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else b"" if model.is_control(i) or model.is_unknown(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
+
+    def decode(self, ids: list[int]) -> str:
+        """Text of the ids."""
+        return b"".join(map(self.bytes.__getitem__, ids))[1:].decode("utf-8", "replace")
+
+
+class Codec(Decoder):
+    """Encoder and decoder of one model file."""
+
+    def __init__(self, path: str, dropout: float = 0.0, seed: int = 0, variants: int = VARIANTS):
+        super().__init__(path)
+        model, pieces = self.model, self.pieces
         self.variants = variants if dropout else 1
         self.seed = np.uint64(seed)
         self.skip = np.uint64(min(int(dropout * 2.0**64), (1 << 64) - 1))
-        pieces = [model.id_to_piece(i) for i in range(self.size)]
         normal = [i for i in range(self.size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.byte = {int(p[3:5], 16): i for i, p in enumerate(pieces) if model.is_byte(i)}
         self.id = {pieces[i]: i for i in normal}
-        self.bytes = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else b"" if model.is_control(i) or model.is_unknown(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         score = np.array([model.get_score(i) for i in range(self.size)])
         pairs = sorted((self.id[p[:k]] << 32 | self.id[p[k:]], i) for p, i in self.id.items() for k in range(1, len(p)) if p[:k] in self.id and p[k:] in self.id)
         self._tables(np.array([k for k, _ in pairs], np.int64), np.array([i for _, i in pairs], np.int64))
@@ -61,7 +76,7 @@ class Codec:
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.old = self.known
 
-    def _tables(self, keys: np.ndarray, ids: np.ndarray, bits: int = 19) -> None:
+    def _tables(self, keys: np.ndarray, ids: np.ndarray, bits: int = 20) -> None:
         """Two hashed tables; a pair is in the first or, where that place is taken, in the second."""
         self.shift = np.uint64(64 - bits)
         first = self._slot(keys, 0)
@@ -219,10 +234,6 @@ class Codec:
             out.append(np.frombuffer(b"".join(parts), "<i4"))
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of the ids."""
-        return b"".join(map(self.bytes.__getitem__, ids))[1:].decode("utf-8", "replace")
-
 
 _codecs: dict[tuple, Codec] = {}
 
@@ -235,7 +246,13 @@ def codec(path: str, dropout: float, seed: int, variants: int) -> Codec:
     return _codecs[key]
 
 
-def encode(text: Column, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4) -> Column:
+@functools.cache
+def decoder(path: str) -> Decoder:
+    """This worker's decoder of a model file."""
+    return Decoder(path)
+
+
+def encode(text: Column, path: str, dropout: float = 0.1, seed: int = 0, variants: int = VARIANTS) -> Column:
     """Ids of each text as array<int>."""
 
     @F.arrow_udf("array<int>")
@@ -253,18 +270,18 @@ def decode(ids: Column, path: str) -> Column:
 
     @F.arrow_udf("string")
     def texts(lists: pa.Array) -> pa.Array:
-        own = codec(path, 0.0, 0, 1)
+        own = decoder(path)
         return pa.array([own.decode(x.values.to_pylist()) if x.is_valid else None for x in lists], pa.string())
 
     return texts(ids)
 
 
-def round_trip(df: DataFrame, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4) -> DataFrame:
+def round_trip(df: DataFrame, path: str, dropout: float = 0.1, seed: int = 0, variants: int = VARIANTS) -> DataFrame:
     """Per row: doc_id, n_tokens, ids_crc32 (ids as little-endian 32-bit numbers), decoded_sha256, lossless."""
 
     @F.arrow_udf("struct<n:long,crc:long,sha:string>")
     def digest(lists: pa.Array) -> pa.Array:
-        own, out = codec(path, 0.0, 0, 1), []
+        own, out = decoder(path), []
         for x in lists:
             ids = x.values.to_numpy()
             out.append({"n": len(ids), "crc": zlib.crc32(ids.astype("<i4").tobytes()), "sha": hashlib.sha256(own.decode(ids.tolist()).encode()).hexdigest()})
