@@ -30,7 +30,7 @@ SPACE = "▁"
 #: Chunks longer than this go through a heap one by one; shorter ones merge in step, by length.
 LONG = 96
 #: Segmentations that a chunk can have in a corpus.
-VARIANTS = 4
+VARIANTS = 256
 #: Chunks that a worker keeps in each of two generations.
 MOST = 400_000
 _CHUNK = re.compile(r"▁*[^▁\n￹]+|▁+|\n|￹")
@@ -95,11 +95,11 @@ class Codec(Decoder):
         x = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * salt & (1 << 64) - 1 | 1)
         return ((x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> self.shift).astype(np.int64)
 
-    def _skipped(self, variant: int, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = mix(place.astype(np.uint64) + np.uint64((int(self.seed) * 0x9E3779B97F4A7C15 + variant * 0xD1342543DE82EF95) % (1 << 64)))
+    def _skipped(self, variant: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = mix(place.astype(np.uint64) + variant * np.uint64(0xD1342543DE82EF95) + np.uint64(int(self.seed) * 0x9E3779B97F4A7C15 % (1 << 64)))
         return mix(key ^ (left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64))) < self.skip
 
-    def _merge(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, variant: int) -> tuple[np.ndarray, np.ndarray]:
+    def _merge(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (inf for none or skipped) and id of the merge of each pair."""
         key = left << 32 | right
         at = self._slot(key, 0)
@@ -117,15 +117,15 @@ class Codec(Decoder):
         """A piece id for each character; characters without one are size + code point."""
         return self.of_code[np.frombuffer(text.encode("utf-32-le"), np.uint32)].astype(np.int64)
 
-    def in_step(self, chunks: list[str], variant: int) -> list[bytes]:
-        """Ids after all merges, for chunks of one length; symbols of a chunk are linked, so nothing moves."""
+    def in_step(self, chunks: list[str], variants: list[int]) -> list[bytes]:
+        """Ids after all merges, for chunks of one length and their variants; symbols of a chunk are linked, so nothing moves."""
         n, width = len(chunks), len(chunks[0])
-        sym = self.symbols("".join(chunks)).reshape(n, width)
+        sym, variant = self.symbols("".join(chunks)).reshape(n, width), np.array(variants, np.uint64)
         cols = np.arange(width)
         after, before = np.tile(cols + 1, (n, 1)), np.tile(cols - 1, (n, 1))
         rank, merged = np.full((n, width), np.inf, np.float32), np.zeros((n, width), np.int64)
         if width > 1:
-            rank[:, :-1], merged[:, :-1] = self._merge(sym[:, :-1], sym[:, 1:], cols[:-1], variant)
+            rank[:, :-1], merged[:, :-1] = self._merge(sym[:, :-1], sym[:, 1:], cols[:-1], variant[:, None])
         live = np.arange(n)
         while True:
             r = rank[live]
@@ -146,7 +146,7 @@ class Codec(Decoder):
             less = start >= 0
             row = np.concatenate([live[more], live[less]])
             left, right = np.concatenate([j[more], start[less]]), np.concatenate([end[more], j[less]])
-            rank[row, left], merged[row, left] = self._merge(sym[row, left], sym[row, right], left, variant)
+            rank[row, left], merged[row, left] = self._merge(sym[row, left], sym[row, right], left, variant[row])
         kept = sym >= 0
         ends = np.cumsum(kept.sum(axis=1)) * 4
         data = sym[kept].astype("<i4").tobytes()
@@ -162,7 +162,7 @@ class Codec(Decoder):
 
         def candidates(lefts: list[int]) -> list[tuple]:
             a, b = np.array([sym[i] for i in lefts], np.int64), np.array([sym[after[i]] for i in lefts], np.int64)
-            rank, merged = self._merge(a, b, np.array(lefts), variant)
+            rank, merged = self._merge(a, b, np.array(lefts), np.full(len(lefts), variant, np.uint64))
             return [(r, i, x, y, m) for r, i, x, y, m in zip(rank.tolist(), lefts, a.tolist(), b.tolist(), merged.tolist(), strict=True) if r < float("inf")]
 
         agenda = candidates(list(range(n - 1))) if n > 1 else []
@@ -184,22 +184,27 @@ class Codec(Decoder):
             return array("i", symbols).tobytes()
         return array("i", [i for s in symbols for i in ([s] if s < self.size else [self.byte[b] for b in chr(s - self.size).encode()])]).tobytes()
 
-    def learn(self, chunks: list[str], variant: int) -> None:
-        """Ids of chunks that one variant does not know yet."""
-        by: dict[int, list[str]] = {}
-        known, old = self.known[variant], self.old[variant]
-        for c in chunks:
-            if (ids := old.get(c)) is None:
-                by.setdefault(len(c), []).append(c)
-            else:
-                known[c] = ids
-        for length, group in by.items():
+    def learn(self, need: list[set[str]]) -> None:
+        """Ids of chunks that a variant does not know yet; chunks of one length merge together, whatever their variant."""
+        by: dict[int, tuple[list[str], list[int]]] = {}
+        for v, some in enumerate(need):
+            known, old = self.known[v], self.old[v]
+            for c in some:
+                if (ids := old.get(c)) is None:
+                    chunks, variants = by.setdefault(len(c), ([], []))
+                    chunks.append(c)
+                    variants.append(v)
+                else:
+                    known[c] = ids
+        for length, (chunks, variants) in by.items():
             if length > LONG:
-                known.update((c, self._final(self.by_heap(c, variant))) for c in group)
+                for c, v in zip(chunks, variants, strict=True):
+                    self.known[v][c] = self._final(self.by_heap(c, v))
                 continue
-            for i in range(0, len(group), 10_000):
-                part = group[i : i + 10_000]
-                known.update(zip(part, self.in_step(part, variant), strict=True))
+            for i in range(0, len(chunks), 10_000):
+                part, its = chunks[i : i + 10_000], variants[i : i + 10_000]
+                for c, v, ids in zip(part, its, self.in_step(part, its), strict=True):
+                    self.known[v][c] = ids
 
     def _kinds(self, text: str, n: int) -> list[int]:
         """Variant of each of the n chunks of a text."""
@@ -222,8 +227,7 @@ class Codec(Decoder):
             for v, c in zip(kinds, chunks, strict=True):
                 if c not in self.known[v]:
                     need[v].add(c)
-        for v, some in enumerate(need):
-            self.learn(list(some), v)
+        self.learn(need)
         known = self.known
         for t, (kinds, chunks) in zip(texts, cut, strict=True):
             if SPACE in t or _HIDDEN in t:

@@ -315,7 +315,7 @@ def test_pieces(texts, dropout):
     if dropout:
         assert [x.tolist() for x in pieces.Codec(PIECES, dropout, 12, 4).encode(some)] != [x.tolist() for x in ids]
         for c in {"▁alpha3", "▁theta17", "▁xi5", "thethe"}:
-            assert codec.in_step([c], 1)[0] == codec._final(codec.by_heap(c, 1))  # both ways to run the agenda
+            assert codec.in_step([c], [1])[0] == codec._final(codec.by_heap(c, 1))  # both ways to run the agenda
 
 
 def test_pieces_on_tables(docs, empty):
