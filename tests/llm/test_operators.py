@@ -315,7 +315,17 @@ def test_pieces(texts, dropout):
     if dropout:
         assert [x.tolist() for x in pieces.Codec(PIECES, dropout, 12, 4).encode(some)] != [x.tolist() for x in ids]
         for c in {"▁alpha3", "▁theta17", "▁xi5", "thethe"}:
-            assert codec.in_step([c], [1])[0] == codec._final(codec.by_heap(c, 1))  # both ways to run the agenda
+            kinds = list(range(4))
+            assert codec.in_step([c] * 4, kinds) == [codec._final(codec.by_heap(c, v)) for v in kinds]  # both ways to run the agenda
+
+
+def test_pieces_vary():
+    codec = pieces.Codec(PIECES, 0.2, 11)
+    word = "internationalisation"
+    ways = {tuple(x.tolist()) for v in range(codec.variants) for x in [np.frombuffer(codec.in_step(["▁" + word], [v])[0], "<i4")]}
+    assert len(ways) > 16 and {codec.decode(list(w)) for w in ways} == {word}
+    kinds = codec._kinds(word, 1000)
+    assert len(set(kinds)) > 200 and kinds != codec._kinds(word + "s", 1000)  # by place and by text
 
 
 def test_pieces_on_tables(docs, empty):
