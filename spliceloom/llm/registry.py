@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, langid, minhash, packing, pieces, quality, rans, repeats, secrets, vectors
+from . import exact, langid, lines, minhash, packing, pieces, quality, rans, repeats, secrets, vectors
 from .common import shared_dir, table
 
 
@@ -60,6 +60,10 @@ def op10_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_merge_dropout": op9_merge_dropout,
     "op10_vector_graph": op10_vector_graph,
+    "op12_line_dedup": op12_line_dedup,
     "pipeline": pipeline,
 }
-SQL = {"op2_exact_dedup": exact.SQL}
+SQL = {"op2_exact_dedup": exact.SQL, "op12_line_dedup": lines.SQL}
