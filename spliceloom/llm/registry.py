@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, langid, lines, minhash, packing, pieces, quality, rans, repeats, secrets, vectors
+from . import exact, langid, lines, minhash, packing, pieces, quality, rans, repeats, runs, secrets, vectors
 from .common import shared_dir, table
 
 
@@ -64,6 +64,10 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,6 +86,7 @@ QUERIES = {
     "op9_merge_dropout": op9_merge_dropout,
     "op10_vector_graph": op10_vector_graph,
     "op12_line_dedup": op12_line_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 SQL = {"op2_exact_dedup": exact.SQL, "op12_line_dedup": lines.SQL}
