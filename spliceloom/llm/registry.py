@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, langid, lines, minhash, packing, pieces, quality, rans, repeats, runs, secrets, vectors
+from . import align, exact, langid, lines, minhash, packing, pieces, quality, rans, repeats, runs, secrets, vectors
 from .common import shared_dir, table
 
 
@@ -60,6 +60,10 @@ def op10_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment_digest(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digest(table(spark, sf_dir, "documents"))
 
@@ -85,6 +89,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_merge_dropout": op9_merge_dropout,
     "op10_vector_graph": op10_vector_graph,
+    "op11_alignment": op11_alignment,
     "op12_line_dedup": op12_line_dedup,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,

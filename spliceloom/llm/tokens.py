@@ -24,9 +24,9 @@ _TWO = [i.to_bytes(2, "little") for i in range(1 << 16)]
 
 
 class Encoder(dict):
-    """Chunk to its little-endian 16-bit ids; computes what it lacks."""
+    """Chunk to its little-endian 16-bit ids; computes what it lacks. With `plain`, strings of added tokens are plain text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -34,7 +34,8 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits are not supported")
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = re.compile("|".join(["[\x1c-\x1f]", *added]), re.I)
         self.bytewise = self.tokenizer.normalizer is None
         self.model = self.tokenizer.model
