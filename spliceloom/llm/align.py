@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +34,16 @@ from .tokens import Encoder
 
 #: Bound of the pairs that are broadcast.
 FREQUENT = 1 << 18
+#: Chunks that a worker keeps in each of two generations.
+MOST = 400_000
 #: Pair keys are A id << WIDTH | B id.
 WIDTH = 16
 _BODY = "row long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
 
 
+_CHUNK_END = re.compile(r"(?<=\S)(?=[ \n])")
+#: Texts with characters that a side reads in its own way are aligned as one chunk.
+_WHOLE = re.compile("[\x1c-\x1f\ufff9]")
 # Bytes that byte-level vocabularies show as themselves; the others, in order, are U+0100 and up.
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
@@ -48,7 +55,11 @@ def byte_alphabet() -> list[str]:
 
 
 class Aligner:
-    """Two tokenizers and the bytes of their tokens."""
+    """Two tokenizers and the bytes of their tokens; chunks of text that were aligned before are looked up.
+
+    A chunk ends where a space or line feed follows a visible character: there both sides end a token, and what
+    stands before and after has no influence on a chunk's tokens, so groups of a text are those of its chunks in order.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = Encoder(a_path, plain=True), codec(b_path, 0.0, 0, 1)
@@ -60,29 +71,58 @@ class Aligner:
         self.a_bytes = [spelled.get(i, b"") for i in range(1 + max(spelled, default=0))]
         self.b_bytes = self.b.bytes
         self.a_width, self.b_width = ([len(x) for x in some] for some in (self.a_bytes, self.b_bytes))
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of both sides for each text; none where bytes differ from the text with a space in front."""
-        ids_a = self.a.encode([" " + t if t else "" for t in texts])
-        ids_b = self.b.encode(["" if SPACE in t else t for t in texts])
-        for t, a, b in zip(texts, ids_a, ids_b, strict=True):
-            a, b, whole = np.frombuffer(a, "<u2").tolist(), b.tolist(), (" " + t).encode()
-            same = b"".join(map(self.a_bytes.__getitem__, a)) == whole and b"".join(map(self.b_bytes.__getitem__, b)) == whole
-            yield (a, b) if t and same else ([], [])
-
-    def groups(self, a: list[int], b: list[int]) -> Iterator[tuple[list[int], list[int]]]:
-        """Slices of both id lists between ends that both sides have."""
-        at_a, at_b = _ends(a, self.a_width), _ends(b, self.b_width)
-        i = j = 0
-        for end in sorted(at_a.keys() & at_b.keys()):
-            x, y = at_a[end] + 1, at_b[end] + 1
-            yield a[i:x], b[j:y]
+        self.known: dict[str, tuple | None] = {}
+        self.old = self.known
+
+    def cuts(self, a: list[int], b: list[int]) -> list[tuple[int, int]]:
+        """For each group the number of A and of B tokens up to its end: the ends that both sides have, sorted."""
+        at_a, at_b = (dict(zip(accumulate([width[i] for i in ids]), range(1, len(ids) + 1), strict=True)) for ids, width in ((a, self.a_width), (b, self.b_width)))
+        return [(at_a[end], at_b[end]) for end in sorted(at_a.keys() & at_b.keys())]
+
+    def aligned(self, text: str, a: list[int], b: list[int]) -> tuple[str, bytes, int, int] | None:
+        """Groups as text, keys of all links, and how many tokens each side has; None if a side spells another text."""
+        whole = text.encode()
+        if b"".join([self.a_bytes[i] for i in a]) != whole or b"".join([self.b_bytes[i] for i in b]) != whole:
+            return None
+        said, keys, i, j = [], [], 0, 0
+        for x, y in self.cuts(a, b):
+            if x - i == y - j == 1:
+                keys.append(a[i] << WIDTH | b[j])
+                said.append(f"{a[i]}|{b[j]}")
+            else:
+                keys += [p << WIDTH | q for p in a[i:x] for q in b[j:y]]
+                said.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
             i, j = x, y
-
-
-def _ends(ids: list[int], width: list[int]) -> dict[int, int]:
-    """Byte offset where a token ends, to its index."""
-    return dict(zip(np.cumsum([width[i] for i in ids]).tolist(), range(len(ids)), strict=True))
+        return ";".join(said), np.array(keys, "<u4").tobytes(), len(a), len(b)
+
+    def learn(self, chunks: list[str]) -> None:
+        """Aligns chunks that are not known yet."""
+        new = []
+        for c in chunks:
+            if c in self.old:
+                self.known[c] = self.old[c]
+            else:
+                new.append(c)
+        for c, a, b in zip(new, self.a.encode(new), self.b.bare(new), strict=True):
+            self.known[c] = self.aligned(c, np.frombuffer(a, "<u2").tolist(), np.frombuffer(b, "<i4").tolist())
+
+    def whole(self, text: str) -> tuple[str, bytes, int, int] | None:
+        """A text aligned as one chunk."""
+        return self.aligned(" " + text, np.frombuffer(self.a.encode([" " + text])[0], "<u2").tolist(), self.b.encode([text])[0].tolist())
+
+    def align(self, texts: list[str]) -> Iterator[tuple[str, np.ndarray, int, int]]:
+        """For each text its groups as text, keys of its links, and how many tokens each side has."""
+        if len(self.known) > MOST:
+            self.old, self.known = self.known, {}
+        cut = [[] if not t or SPACE in t else [t] if _WHOLE.search(t) else _CHUNK_END.split(" " + t) for t in texts]
+        self.learn(list({c for t, chunks in zip(texts, cut, strict=True) if chunks and chunks[0] is not t for c in chunks if c not in self.known}))
+        for t, chunks in zip(texts, cut, strict=True):
+            items = [self.whole(t)] if chunks and chunks[0] is t else list(map(self.known.__getitem__, chunks))
+            if not items or None in items:
+                yield "", np.zeros(0, np.uint32), 0, 0
+            else:
+                said, keys, n_a, n_b = zip(*items, strict=True)
+                yield ";".join(said), np.frombuffer(b"".join(keys), "<u4"), sum(n_a), sum(n_b)
 
 
 @functools.cache
@@ -91,17 +131,6 @@ def aligner(a_path: str, b_path: str) -> Aligner:
     return Aligner(a_path, b_path)
 
 
-def linked_pairs(groups: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct linked id pairs of a document, as keys, and how many links each has."""
-    keys: list[int] = []
-    for a, b in groups:
-        if len(a) == len(b) == 1:
-            keys.append(a[0] << WIDTH | b[0])
-        else:
-            keys += [x << WIDTH | y for x in a for y in b]
-    return np.unique(np.array(keys, np.int64), return_counts=True)
-
-
 def align_documents(df: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, row (a number of its own), n_a, n_b, n_groups, n_links, groups_sha256, pairs and times."""
     rows = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
@@ -112,11 +141,10 @@ def align_documents(df: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_
             at = 0
             for some in slices(batch.column(1)):
                 cols: list[list] = [[] for _ in range(8)]
-                for k, (a, b) in enumerate(own.encode(some.to_pylist())):
-                    groups = list(own.groups(a, b))
-                    pairs, times = linked_pairs(groups)
-                    digest = hashlib.sha256(";".join([f"{x[0]}|{y[0]}" if len(x) == len(y) == 1 else ",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups]).encode()).hexdigest() if a else ""
-                    for c, v in zip(cols, (nth + k, len(a), len(b), len(groups), int(times.sum()), digest, pairs, times.astype(np.int32)), strict=True):
+                for k, (groups, keys, n_a, n_b) in enumerate(own.align(some.to_pylist())):
+                    pairs, times = np.unique(keys, return_counts=True)
+                    digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+                    for c, v in zip(cols, (nth + k, n_a, n_b, groups.count("|"), len(keys), digest, pairs.astype(np.int64), times.astype(np.int32)), strict=True):
                         c.append(v)
                 nth += len(some)
                 numbers = [pa.array(c, pa.int64()) for c in cols[:5]]
