@@ -50,23 +50,24 @@ def is_multi(chain: str = "chain") -> Column:
     return F.col(chain) != MONO
 
 
-def collapse_chains(tx: DataFrame, member: str, by: list[str]) -> DataFrame:
-    """Multi-exon transcripts of equal chain in one row: widest ends, sorted members. by: keys beside the chain."""
-    return tx.filter(is_multi()).groupBy(*by, "chain").agg(F.min("tx_start").alias("tx_start"), F.max("tx_end").alias("tx_end"), F.sort_array(F.collect_list(member)).alias("members"))
+def shape() -> Column:
+    """What transcripts of one structure have in common: the chain, or both ends of a mono-exon one."""
+    return F.when(is_multi(), F.col("chain")).otherwise(F.concat_ws("-", F.col("tx_start").cast("string"), F.col("tx_end").cast("string")))
 
 
-def collapse_mono(tx: DataFrame, member: str, by: list[str]) -> DataFrame:
-    """Mono-exon transcripts of equal ends in one row."""
-    return tx.filter(~is_multi()).groupBy(*by, "tx_start", "tx_end").agg(F.sort_array(F.collect_list(member)).alias("members"))
+def structures(tx: DataFrame, by: list[str]) -> DataFrame:
+    """The dictionary of structures: by, shape, chain, tx_start, tx_end (widest ends), n (transcripts). Which transcripts
+    have a structure is told by their own by and shape, so no row grows with the number of members."""
+    return tx.groupBy(*by, shape().alias("shape"), "chain").agg(F.min("tx_start").alias("tx_start"), F.max("tx_end").alias("tx_end"), F.count(F.lit(1)).alias("n"))
 
 
 def chain_sizes(tx: DataFrame, member: str, by: list[str]) -> DataFrame:
-    """collapse_chains with the number n of members and the least, k, instead of all of them: rows stay small at any depth."""
+    """Multi-exon transcripts of equal chain in one row: widest ends, the number n of members and the least, k."""
     return tx.filter(is_multi()).groupBy(*by, "chain").agg(F.min("tx_start").alias("tx_start"), F.max("tx_end").alias("tx_end"), F.count(member).alias("n"), F.min(member).alias("k"))
 
 
 def mono_sizes(tx: DataFrame, member: str, by: list[str]) -> DataFrame:
-    """collapse_mono with the number n of members and the least, k, instead of all of them."""
+    """Mono-exon transcripts of equal ends in one row: the number n of members and the least, k."""
     return tx.filter(~is_multi()).groupBy(*by, "tx_start", "tx_end").agg(F.count(member).alias("n"), F.min(member).alias("k"))
 
 

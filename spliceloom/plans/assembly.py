@@ -2,42 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.chains import collapse_chains, collapse_mono, exon_rows, gather_exons, separate_ends
-from ..operators.include import include_truncated, maximal, mono_in_exons
-from ..operators.ranges import contained, islands, numbered, terminal_exons
+from ..operators.chains import exon_rows, gather_exons, separate_ends, shape, structures
+from ..operators.include import include_truncated, mono_in_exons
+from ..operators.ranges import contained, islands, largest, numbered, terminal_exons
 from ..session import settled
 
 MATCH, MONO, INCLUDE = "intronic_match_include", "monoex_match", "include"
 
 
-def collapsed(exons: DataFrame, by: list[str], member: list[str]) -> DataFrame:
-    """Transcripts of equal chain, and mono-exon ones of equal range: by, chain, tx_start, tx_end, members, index.
+def transcripts_of(exons: DataFrame, by: list[str], member: list[str]) -> DataFrame:
+    """One row per member: by, member (struct), chain, tx_start, tx_end, shape."""
+    tx = separate_ends(gather_exons(exons, [*by, *member]).drop("exons"))
+    return tx.select(*by, F.struct(*member).alias("member"), "chain", "tx_start", "tx_end", shape().alias("shape"))
+
+
+def collapsed(tx: DataFrame, by: list[str]) -> DataFrame:
+    """The dictionary of structures with an index: by, shape, chain, tx_start, tx_end, n, index.
 
     The index runs through multi-exon rows upwards from 1, ordered by place and chain, and through mono-exon rows downwards
     from -1, ordered by place and range, inside each `by` prefix before seqname.
     """
     scope = [c for c in by if c not in ("seqname", "strand")]
-    tx = separate_ends(gather_exons(exons, [*by, *member]).drop("exons")).withColumn("__m", F.struct(*member))
-    multi, mono = collapse_chains(tx, "__m", by), collapse_mono(tx, "__m", by).withColumn("chain", F.lit("-"))
-    # `+` sorts before `-`; the index restarts in each scope
-    place = ["seqname", "strand"]
-    up = _running(multi, scope, place, [F.col("chain")])
-    down = _running(mono, scope, place, [F.col("tx_start"), F.col("tx_end")])
-    cols = [*by, "chain", "tx_start", "tx_end", "members"]
-    return up.select(*cols, F.col("__i").alias("index")).unionByName(down.select(*cols, (-F.col("__i")).alias("index")))
-
-
-def _running(df: DataFrame, scope: list[str], key: list[str], order: list) -> DataFrame:
-    """Running number __i inside each scope."""
-    if not scope:
-        return numbered(df, key, order, "__i")
-    n = F.row_number().over(Window.partitionBy(*scope, *key).orderBy(*order))
-    sizes = df.groupBy(*scope, *key).agg(F.count(F.lit(1)).alias("__size"))
-    before = F.coalesce(F.sum("__size").over(Window.partitionBy(*scope).orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.withColumn("__k", n).join(sizes.withColumn("__before", before).drop("__size"), [*scope, *key]).withColumn("__i", F.col("__k") + F.col("__before")).drop("__k", "__before")
+    rows = settled(structures(tx, by).withColumn("__multi", F.col("shape") == F.col("chain")))
+    # `+` sorts before `-`; all chains begin with `-`, mono-exon rows have that alone and are told apart by their ends
+    out = numbered(rows, ["seqname", "strand", "chain", "tx_start", "tx_end"], "index", [*scope, "__multi"])
+    return out.withColumn("index", F.when(F.col("__multi"), F.col("index")).otherwise(-F.col("index"))).drop("__multi")
 
 
 def structure_exons(rows: DataFrame, keep: list[str]) -> DataFrame:
@@ -49,63 +41,45 @@ def structure_exons(rows: DataFrame, keep: list[str]) -> DataFrame:
 def with_ids(rows: DataFrame, scope: list[str], prefix: str = "PB") -> DataFrame:
     """rows with gene_id and transcript_id: loci are islands in order of place, transcripts follow the index inside a locus."""
     key = [*scope, "seqname", "strand"]
-    ranged = islands(rows, key, "tx_start", "tx_end")
-    loci = ranged.groupBy(*key, "island").agg(F.min("tx_start").alias("__s"))
-    genes = _running(loci, scope, ["seqname", "strand"], [F.col("island")]).select(*key, "island", F.col("__i").alias("__gene"))
-    out = ranged.join(genes, [*key, "island"])
-    nth = F.row_number().over(Window.partitionBy(*scope, "__gene").orderBy("index"))
+    ranged = settled(islands(rows, key, "tx_start", "tx_end"))
+    genes = numbered(ranged.select(*key, "island").distinct(), ["seqname", "strand", "island"], "__gene", scope)
+    out = numbered(ranged.join(genes, [*key, "island"]), ["index"], "__nth", [*scope, "__gene"])
     gene = F.concat_ws(".", F.lit(prefix), F.col("__gene").cast("string"))
-    return out.withColumn("gene_id", gene).withColumn("transcript_id", F.concat_ws(".", gene, nth.cast("string"))).drop("island", "__gene")
-
-
-def _links(rows: DataFrame, scope: list[str], pairs: DataFrame | None, kind: str) -> DataFrame:
-    """(scope, index, member, type): own members, or through (query, subject) pairs the query's members."""
-    m = rows.select(*scope, F.col("index").alias("__i"), F.explode("members").alias("member"))
-    if pairs is None:
-        return m.select(*scope, F.col("__i").alias("index"), "member", F.lit(kind).alias("type"))
-    return m.join(pairs.withColumnRenamed("query", "__i"), [*scope, "__i"]).select(*scope, F.col("subject").alias("index"), "member", F.lit(kind).alias("type"))
-
-
-def _key(rows: DataFrame, scope: list[str]) -> DataFrame:
-    return rows.withColumn("__key", F.struct(*scope, "index") if scope else F.col("index"))
-
-
-def _pairs(pairs: DataFrame, scope: list[str]) -> DataFrame:
-    if not scope:
-        return pairs
-    return pairs.select(*[F.col(f"query.{c}").alias(c) for c in scope], F.col("query.index").alias("query"), F.col("subject.index").alias("subject"))
+    return out.withColumn("gene_id", gene).withColumn("transcript_id", F.concat_ws(".", gene, F.col("__nth").cast("string"))).drop("island", "__gene", "__nth")
 
 
 def assemble(exons: DataFrame, by: list[str], member: list[str], truncation: bool) -> tuple[DataFrame, DataFrame]:
     """(transcripts, links). Transcripts: scope, gene_id, transcript_id, seqname, strand, chain, tx_start, tx_end, index. Links: scope, transcript ids, member, type.
 
     With truncation (within samples) chains that end a larger chain go into it and mono-exon rows into terminal exons;
-    without (across samples) chains merge only when equal and mono-exon rows go into any exon.
+    without (across samples) chains merge only when equal and mono-exon rows go into any exon. Structures are linked with
+    each other first; members, one row each, meet the links of their structure at the end.
     """
     scope = [c for c in by if c not in ("seqname", "strand")]
-    on = (*scope, "seqname", "strand")
-    rows = settled(_key(collapsed(exons, by, member), scope))
+    on = [*scope, "seqname", "strand"]
+    tx = settled(transcripts_of(exons, by, member))
+    rows = settled(collapsed(tx, by).withColumn("__key", F.struct(*scope, "index") if scope else F.col("index")))
     multi, mono = rows.filter("index > 0"), rows.filter("index < 0")
-    cut = settled(include_truncated(multi, "__key", on)) if truncation else None
+    cut = settled(include_truncated(multi, "__key", tuple(on))) if truncation else None
     kept_multi = multi.join(cut.select(F.col("query").alias("__key")).distinct(), "__key", "left_anti") if truncation else multi
     targets = structure_exons(kept_multi, [*on, "__key"])
     if truncation:
         targets = terminal_exons(targets, [*on, "__key"])
-    in_multi = settled(mono_in_exons(mono, targets, "__key", on))
+    in_multi = settled(mono_in_exons(mono, targets, "__key", tuple(on)))
     gone = in_multi.select(F.col("query").alias("__key")).distinct()
-    free = mono.join(gone, "__key", "left_anti")
-    q = lambda df: df.select(*on, F.col("__key").alias("query"), F.col("tx_start").alias("i_start"), F.col("tx_end").alias("i_end"))
-    s = lambda df: df.select(*on, F.col("__key").alias("subject"), F.col("tx_start").alias("o_start"), F.col("tx_end").alias("o_end"))
-    in_free = settled(maximal(contained(q(free), s(free), list(on)).filter("query <> subject").select("query", "subject")))
-    kept_mono = free.join(in_free.select(F.col("query").alias("__key")).distinct(), "__key", "left_anti")
-    also = contained(q(mono.join(gone, "__key", "left_semi")), s(kept_mono), list(on)).select("query", "subject")
-    kept = kept_multi.unionByName(kept_mono)
-    named = settled(with_ids(kept.drop("__key"), scope))
-    links = _links(kept_multi, scope, None, MATCH).unionByName(_links(kept_mono, scope, None, MONO))
-    for pairs in ([cut] if truncation else []) + [in_multi, in_free, also]:
-        links = links.unionByName(_links(rows, scope, _pairs(pairs, scope), INCLUDE))
-    ids = named.select(*scope, "index", "gene_id", "transcript_id")
-    return named.drop("members"), links.join(ids, [*scope, "index"]).select(*scope, "gene_id", "transcript_id", "member", "type")
+    free = settled(mono.join(gone, "__key", "left_anti"))
+    kept_mono = free.join(largest(free, on, "tx_start", "tx_end"), [*on, "tx_start", "tx_end"], "left_semi")
+    q = mono.select(*on, F.col("__key").alias("query"), F.col("tx_start").alias("i_start"), F.col("tx_end").alias("i_end"))
+    s = kept_mono.select(*on, F.col("__key").alias("subject"), F.col("tx_start").alias("o_start"), F.col("tx_end").alias("o_end"))
+    in_mono = contained(q, s, on).filter("query <> subject").select("query", "subject")
+    named = settled(with_ids(kept_multi.unionByName(kept_mono), scope))
+    own = named.select(F.col("__key").alias("query"), F.col("__key").alias("subject"), F.when(F.col("index") > 0, MATCH).otherwise(MONO).alias("type"))
+    for pairs in ([cut] if truncation else []) + [in_multi, in_mono]:
+        own = own.unionByName(pairs.withColumn("type", F.lit(INCLUDE)))
+    named_links = own.join(named.select(F.col("__key").alias("subject"), "gene_id", "transcript_id"), "subject")
+    of_shape = named_links.join(rows.select(F.col("__key").alias("query"), *by, "shape"), "query").select(*by, "shape", "gene_id", "transcript_id", "type")
+    links = tx.select(*by, "shape", "member").join(of_shape, [*by, "shape"]).select(*scope, "gene_id", "transcript_id", "member", "type")
+    return named.drop("__key", "shape", "n"), links
 
 
 def within_samples(exons: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -238,7 +238,7 @@ def locus_reduce(spark, sf) -> DataFrame:
 
 @query(f'WITH {_ISLANDS} SELECT g, st, island, "start", "end", row_number() OVER (ORDER BY g, st, island) AS locus FROM r')
 def locus_ids(spark, sf) -> DataFrame:
-    return R.numbered(R.reduced(intervals(spark, sf), ["g", "st"], "s", "e"), ["g", "st"], [F.col("island")], "locus")
+    return R.numbered(R.reduced(intervals(spark, sf), ["g", "st"], "s", "e"), ["g", "st", "island"], "locus")
 
 
 _MERGED = COLLAPSED_SQL + """,

@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from spliceloom.operators import chains as CH
+from spliceloom.operators import include as I
+from spliceloom.operators import ranges as R
+from spliceloom.plans import assembly as AS
 from spliceloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -15,9 +18,39 @@ def test_no_row_holds_a_whole_group(spark, name):
     assert "members" not in plan
 
 
-def test_sizes_equal_the_members(spark):
-    rows = [("a", "-5 9-", 1, 12), ("b", "-5 9-", 2, 14), ("c", "-6 9-", 1, 12), ("d", "-", 3, 8), ("e", "-", 3, 8), (None, "-", 3, 8)]
+def test_structures_count_their_transcripts(spark):
+    rows = [("a", "-5 9-", 1, 12), ("b", "-5 9-", 2, 14), ("c", "-6 9-", 1, 12), ("d", "-", 3, 8), ("e", "-", 3, 8), ("f", "-", 3, 9)]
     tx = spark.createDataFrame(rows, "tx string, chain string, tx_start long, tx_end long").withColumn("seqname", F.lit("c"))
-    for new, old in ((CH.chain_sizes, CH.collapse_chains), (CH.mono_sizes, CH.collapse_mono)):
-        want = old(tx, "tx", ["seqname"]).withColumns({"n": F.size("members").cast("long"), "k": F.array_min("members")}).drop("members")
-        assert sorted(map(str, new(tx, "tx", ["seqname"]).collect())) == sorted(map(str, want.collect()))
+    got = sorted((r.shape, r.tx_start, r.tx_end, r.n) for r in CH.structures(tx, ["seqname"]).collect())
+    assert got == [("-5 9-", 1, 14, 2), ("-6 9-", 1, 12, 1), ("3-8", 3, 8, 2), ("3-9", 3, 9, 1)]
+    assert sorted((r.chain, r.tx_start, r.tx_end, r.n, r.k) for r in CH.chain_sizes(tx, "tx", ["seqname"]).collect()) == [("-5 9-", 1, 14, 2, "a"), ("-6 9-", 1, 12, 1, "c")]
+    assert sorted((r.tx_start, r.tx_end, r.n, r.k) for r in CH.mono_sizes(tx, "tx", ["seqname"]).collect()) == [(3, 8, 2, "d"), (3, 9, 1, "f")]
+
+
+def test_one_structure_of_all_reads(spark):
+    exons = spark.range(20_000).select(F.lit("s").alias("sample"), F.col("id").cast("string").alias("seq_id"), F.lit("c").alias("seqname"), F.lit("+").alias("strand"), F.explode(F.array(F.lit(0).cast("long"), F.lit(100).cast("long"))).alias("start"))
+    exons = exons.withColumn("end", F.col("start") + 50)
+    tx, links = AS.within_samples(exons)
+    assert [(r.gene_id, r.transcript_id, r.chain) for r in tx.collect()] == [("PB.1", "PB.1.1", "-50 100-")] and "members" not in tx.columns
+    assert links.count() == links.select("seq_id").distinct().count() == 20_000
+
+
+def test_many_ranges_of_one_place(spark):
+    n = 100_000
+    mono = spark.range(n).select(F.lit("c").alias("seqname"), F.lit("+").alias("strand"), F.col("id").alias("k"), (5000 + F.col("id") % 1000).alias("tx_start"), (6500 - F.col("id") % 500 - F.col("id") % 7).alias("tx_end"))
+    rows = mono.groupBy("seqname", "strand", "tx_start", "tx_end").agg(F.min("k").alias("k"))
+    pairs = I.mono_in_mono(rows, "k")
+    ranges = {(r.tx_start, r.tx_end): r.k for r in rows.collect()}
+    top, reach = {}, -1
+    for s, e in sorted(ranges, key=lambda r: (r[0], -r[1])):
+        if e > reach:
+            top[(s, e)], reach = ranges[(s, e)], e
+    want = {(k, t) for (s, e), k in ranges.items() for (a, b), t in top.items() if a <= s and e <= b and k != t}
+    assert {tuple(r) for r in pairs.collect()} == want and len(want) >= len(ranges) - len(top)
+
+
+def test_no_range_is_cut_into_many_bins(spark):
+    long = spark.createDataFrame([(1, "a", 0, 2_000_000_000)], "y int, k string, o_start long, o_end long")
+    points = spark.createDataFrame([(1, "a", 5, 6), (2, "a", 1_999_999_999, 2_000_000_001)], "x int, k string, i_start long, i_end long")
+    got = R.contained(points, long, ["k"])
+    assert [(r.x, r.y) for r in got.collect()] == [(1, 1)] and "sequence(" not in got._jdf.queryExecution().optimizedPlan().toString()
