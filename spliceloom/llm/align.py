@@ -20,7 +20,7 @@ import functools
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, written
-from .pieces import SPACE, codec
+from .pieces import SPACE, Decoder
 from .tokens import Encoder
 
 #: Bound of the pairs that are broadcast.
 FREQUENT = 1 << 18
-#: Chunks that a worker keeps in each of two generations.
-MOST = 400_000
+#: Chunks that a worker keeps in each of two generations, and parts of new chunks.
+MOST, FEW = 200_000, 50_000
 #: Pair keys are A id << WIDTH | B id.
 WIDTH = 16
 _BODY = "row long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
@@ -62,53 +62,71 @@ class Aligner:
     """
 
     def __init__(self, a_path: str, b_path: str):
-        self.a, self.b = Encoder(a_path, plain=True), codec(b_path, 0.0, 0, 1)
-        if self.b.size > 1 << WIDTH:
+        self.a, decoder = Encoder(a_path, plain=True), Decoder(b_path)
+        if decoder.size > 1 << WIDTH:
             raise ValueError("ids of more than 16 bits are not supported")
         byte = {c: b for b, c in enumerate(byte_alphabet())}
         vocab = self.a.tokenizer.get_vocab(with_added_tokens=True)
         spelled = {i: bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode() for t, i in vocab.items()}
         self.a_bytes = [spelled.get(i, b"") for i in range(1 + max(spelled, default=0))]
-        self.b_bytes = self.b.bytes
-        self.a_width, self.b_width = ([len(x) for x in some] for some in (self.a_bytes, self.b_bytes))
+        self.b_model, self.b_bytes = decoder.model, decoder.bytes
+        self.a_width, self.b_width = (np.array([len(x) for x in some]) for some in (self.a_bytes, self.b_bytes))
         self.known: dict[str, tuple | None] = {}
         self.old = self.known
 
-    def cuts(self, a: list[int], b: list[int]) -> list[tuple[int, int]]:
-        """For each group the number of A and of B tokens up to its end: the ends that both sides have, sorted."""
-        at_a, at_b = (dict(zip(accumulate([width[i] for i in ids]), range(1, len(ids) + 1), strict=True)) for ids, width in ((a, self.a_width), (b, self.b_width)))
-        return [(at_a[end], at_b[end]) for end in sorted(at_a.keys() & at_b.keys())]
-
-    def aligned(self, text: str, a: list[int], b: list[int]) -> tuple[str, bytes, int, int] | None:
-        """Groups as text, keys of all links, and how many tokens each side has; None if a side spells another text."""
-        whole = text.encode()
-        if b"".join([self.a_bytes[i] for i in a]) != whole or b"".join([self.b_bytes[i] for i in b]) != whole:
-            return None
-        said, keys, i, j = [], [], 0, 0
-        for x, y in self.cuts(a, b):
-            if x - i == y - j == 1:
-                keys.append(a[i] << WIDTH | b[j])
-                said.append(f"{a[i]}|{b[j]}")
-            else:
-                keys += [p << WIDTH | q for p in a[i:x] for q in b[j:y]]
-                said.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
-            i, j = x, y
-        return ";".join(said), np.array(keys, "<u4").tobytes(), len(a), len(b)
+    def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ends that both sides have, sorted, and the number of A and of B tokens up to each."""
+        at_a, at_b = (dict(zip(np.cumsum(width[ids]).tolist(), range(1, len(ids) + 1), strict=True)) for ids, width in ((a, self.a_width), (b, self.b_width)))
+        both = sorted(at_a.keys() & at_b.keys())
+        return np.array(both, np.int64), *(np.fromiter(map(at.__getitem__, both), np.int64, len(both)) for at in (at_a, at_b))
+
+    def aligned(self, chunks: list[str], ids_a: list[bytes], ids_b: list[list[int]]) -> list[tuple[str, bytes, int, int] | None]:
+        """For each chunk groups as text, keys of all links, and how many tokens each side has; None if a side spells another text."""
+        if not chunks:
+            return []
+        raw = [c.encode() for c in chunks]
+        a, b = np.frombuffer(b"".join(ids_a), "<u2").astype(np.int64), np.array(list(chain.from_iterable(ids_b)), np.int64)
+        whole, ends, at = b"".join(raw), np.cumsum([len(x) for x in raw]), None
+        if all(b"".join(map(some.__getitem__, ids.tolist())) == whole for some, ids in ((self.a_bytes, a), (self.b_bytes, b))):
+            both, to_a, to_b = self.cuts(a, b)
+            at = np.searchsorted(both, ends)
+            at = at + 1 if (both[np.minimum(at, len(both) - 1)] == ends).all() else None
+        if at is None:
+            return [None] if len(chunks) == 1 else [self.aligned([c], [x], [y])[0] for c, x, y in zip(chunks, ids_a, ids_b, strict=True)]
+        from_a, from_b = (np.concatenate([[0], x[:-1]]) for x in (to_a, to_b))
+        size = (to_a - from_a) * (to_b - from_b)
+        upto = np.concatenate([[0], np.cumsum(size)])
+        keys = np.empty(upto[-1], "<u4")
+        keys[upto[:-1]] = a[from_a] << WIDTH | b[from_b]
+        said = [f"{x}|{y}" for x, y in zip(a[from_a].tolist(), b[from_b].tolist(), strict=True)]
+        many = np.flatnonzero(size > 1)
+        for g, o, i, x, j, y in zip(*(v.tolist() for v in (many, upto[many], from_a[many], to_a[many], from_b[many], to_b[many])), strict=True):
+            some_a, some_b = a[i:x], b[j:y]
+            keys[o : o + (x - i) * (y - j)] = (some_a[:, None] << WIDTH | some_b).ravel()
+            said[g] = ",".join(map(str, some_a.tolist())) + "|" + ",".join(map(str, some_b.tolist()))
+        keys, upto, at = keys.tobytes(), upto.tolist(), [0, *at.tolist()]
+        return [(";".join(said[g:h]), keys[4 * upto[g] : 4 * upto[h]], len(x) // 2, len(y)) for g, h, x, y in zip(at[:-1], at[1:], ids_a, ids_b, strict=True)]
 
     def learn(self, chunks: list[str]) -> None:
-        """Aligns chunks that are not known yet."""
+        """Aligns chunks that are not known yet. B puts a space in front: it is the chunk's own, or a token of its own that goes."""
         new = []
         for c in chunks:
             if c in self.old:
                 self.known[c] = self.old[c]
             else:
                 new.append(c)
-        for c, a, b in zip(new, self.a.encode(new), self.b.bare(new), strict=True):
-            self.known[c] = self.aligned(c, np.frombuffer(a, "<u2").tolist(), np.frombuffer(b, "<i4").tolist())
+        for lo in range(0, len(new), 10_000):
+            some = new[lo : lo + 10_000]
+            ids_b = self.b_model.encode([c[1:] if c[0] == " " else c for c in some], num_threads=1)
+            ids_b = [x if c[0] == " " else x[1:] for c, x in zip(some, ids_b, strict=True)]
+            self.known.update(zip(some, self.aligned(some, self.a.encode(some), ids_b), strict=True))
+        if len(self.a) > FEW:
+            self.a.clear()
+            self.a.old = {}
 
     def whole(self, text: str) -> tuple[str, bytes, int, int] | None:
         """A text aligned as one chunk."""
-        return self.aligned(" " + text, np.frombuffer(self.a.encode([" " + text])[0], "<u2").tolist(), self.b.encode([text])[0].tolist())
+        return self.aligned([" " + text], self.a.encode([" " + text]), [self.b_model.encode(text)])[0]
 
     def align(self, texts: list[str]) -> Iterator[tuple[str, np.ndarray, int, int]]:
         """For each text its groups as text, keys of its links, and how many tokens each side has."""

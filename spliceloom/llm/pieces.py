@@ -238,15 +238,6 @@ class Codec(Decoder):
             out.append(np.frombuffer(b"".join(parts), "<i4"))
         return out
 
-    def bare(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts without U+2581 and U+FFF9, in the first variant; no space is put in front."""
-        if sum(map(len, self.known)) > MOST:
-            self.old, self.known = self.known, [{} for _ in self.known]
-        cut = [_CHUNK.findall(t.replace(" ", SPACE)) for t in texts]
-        known = self.known[0]
-        self.learn([{c for chunks in cut for c in chunks if c not in known}, *(set() for _ in self.known[1:])])
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
-
 
 _codecs: dict[tuple, Codec] = {}
 
