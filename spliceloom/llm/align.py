@@ -109,7 +109,7 @@ class Aligner:
 
     def learn(self, chunks: list[str]) -> None:
         """Aligns chunks that are not known yet. B puts a space in front: it is the chunk's own, or a token of its own that goes."""
-        new = []
+        new, space = [], [self.b_model.piece_to_id(SPACE)]
         for c in chunks:
             if c in self.old:
                 self.known[c] = self.old[c]
@@ -118,7 +118,7 @@ class Aligner:
         for lo in range(0, len(new), 10_000):
             some = new[lo : lo + 10_000]
             ids_b = self.b_model.encode([c[1:] if c[0] == " " else c for c in some], num_threads=1)
-            ids_b = [x if c[0] == " " else x[1:] for c, x in zip(some, ids_b, strict=True)]
+            ids_b = [space if c == " " else x if c[0] == " " else x[1:] for c, x in zip(some, ids_b, strict=True)]
             self.known.update(zip(some, self.aligned(some, self.a.encode(some), ids_b), strict=True))
         if len(self.a) > FEW:
             self.a.clear()
