@@ -1,5 +1,7 @@
 """Hand-made cases for mutations, fusions, readers, writers and SAM text."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,7 +65,70 @@ def test_mutation_matching(spark):
 def test_repeat_shift(spark):
     g = text.genome_chunks(spark.createDataFrame([("c", "CCATATATGG")], "id string, sequence string"), 4)
     d = spark.createDataFrame([("c", "+", 8, 8, None, "at"), ("c", "+", 2, 2, None, "at"), ("c", "+", 1, 1, None, "g")], "chr string, type string, start long, end long, ref string, alt string")
-    assert rows(M.repeat_shift(d, g, 4, 20), "start", "repeat_start") == [(1, None), (2, 8), (8, 2)]
+    assert rows(M.repeat_shift(d, g, 4), "start", "repeat_start") == [(1, None), (2, 8), (8, 2)]
+    assert rows(M.repeat_shift(d.withColumns({"last_gap": F.lit(1), "next_gap": F.lit(2)}), g, 4), "start", "repeat_start") == [(1, None), (2, 8), (8, None)]
+    assert M.repeat_shift(d.filter("false"), g, 4).count() == 0
+
+
+def test_repeats_of_any_length(spark):
+    seq = "g" + "a" * 3000 + "c" + "acg" * 700 + "t"
+    g = text.genome_chunks(spark.createDataFrame([("c", seq)], "id string, sequence string"), 100)
+    some = [("+", 1, 1, None, "a"), ("+", 3001, 3001, None, "a"), ("-", 1, 3, "aa", None), ("+", 3002, 3002, None, "acg"), ("-", 3002 + 2097, 3002 + 2100, "acg", None)]
+    d = spark.createDataFrame([("c", *x) for x in some], "chr string, type string, start long, end long, ref string, alt string")
+    assert rows(M.repeat_shift(d, g, 100), "start", "end", "repeat_start") == sorted([(1, 1, 3001), (3001, 3001, 1), (1, 3, 2999), (3002, 3002, 5102), (5099, 5102, 3002)], key=str)
+
+
+def repeat_by_hand(seq, start, end, bases):
+    n = len(bases)
+    unit = next((bases[: n // m] for m in range(2, n + 1) if n % m == 0 and bases[: n // m] * m == bases), bases)
+    k, left, right = len(unit), 0, 0
+    while start - (left + 1) * k >= 0 and seq[start - (left + 1) * k : start - left * k] == unit:
+        left += 1
+    while seq[end + right * k : end + (right + 1) * k] == unit:
+        right += 1
+    return start - left * k if left else start + right * k if right else None
+
+
+def test_repeats_equal_a_slow_walk(spark):
+    rng = random.Random(8)
+    chroms = {f"c{i}": "".join(rng.choice(["a", "t", "at", "aat", "c" * 5]) * rng.randrange(1, 9) for _ in range(12)) for i in range(6)}
+    g = spark.createDataFrame([(c, s.upper()) for c, s in chroms.items()], "id string, sequence string")
+    indels = []
+    for i in range(300):
+        c = rng.choice(sorted(chroms))
+        start, bases = rng.randrange(len(chroms[c])), rng.choice(["a", "t", "at", "ta", "aat", "cc"]) * rng.randrange(1, 4)
+        deleted = rng.random() < 0.5
+        indels.append((i, c, "-" if deleted else "+", start, start + len(bases) * deleted, bases if deleted else None, None if deleted else bases))
+    d = spark.createDataFrame(indels, "id int, chr string, type string, start long, end long, ref string, alt string")
+    want = {i: repeat_by_hand(chroms[c], s, e, r or a) for i, c, _, s, e, r, a in indels}
+    for width in (3, 1000):
+        assert {r["id"]: r["repeat_start"] for r in M.repeat_shift(d, text.genome_chunks(g, width), width).collect()} == want
+    assert sum(x is not None for x in want.values()) > 100
+
+
+def test_gaps_and_explained_variants(spark):
+    v = spark.createDataFrame(
+        [(1, 0, "c", "+", 4, 4, None, "a", "s", 0, 20), (1, 1, "c", "*", 5, 6, "a", "g", "s", 0, 20), (2, 0, "c", "+", 4, 4, None, "a", "s", 0, 20), (3, 0, "c", "-", 8, 9, "a", None, "s", 2, 20)],
+        VAR + ", tx_start long, tx_end long",
+    )
+    assert rows(M.neighbour_gaps(v, ["id"]), "id", "pos", "last_gap", "next_gap") == [(1, 0, 4, 1), (1, 1, 1, 14), (2, 0, 4, 16), (3, 0, 6, 11)]
+    g = text.genome_chunks(spark.createDataFrame([("c", "cgggaaaaaacgg")], "id string, sequence string"), 3)
+    calls = spark.createDataFrame([("c", "+", 10, 10, None, "a", "s"), ("c", "-", 4, 5, "a", None, "s")], CALL)
+    got = M.explain_variants(v, calls, g, 3, ["id", "sample", "chr"])
+    assert rows(got, "id", "pos", "start", "end", "status") == [(1, 0, 10, 10, "match"), (2, 0, 10, 10, "match"), (3, 0, 4, 5, "match")]
+    both = M.match_calls(v.filter("id = 2").withColumn("another_start", F.lit(10).cast("long")), calls.unionByName(calls.filter("type = '+'").withColumns({"start": F.lit(4).cast("long"), "end": F.lit(4).cast("long")})))
+    assert rows(both, "start", "status") == [(4, "match")]
+
+
+def test_variants_on_exons(spark):
+    v = spark.createDataFrame(
+        [(1, "~", 5, 50, None, None, None), (2, "+", 20, 20, None, "g", 3), (3, "-", 8, 14, "acgtac", None, None), (4, "*", 9, 10, "a", "c", 40), (5, "*", 10, 11, "a", "c", None), (6, "-", 12, 15, "acg", None, 9), (7, "-", 0, 4, "acgt", None, None), (8, "+", 4, 4, None, "g", 7)],
+        "id int, type string, start long, end long, ref string, alt string, another_start long",
+    ).withColumns({"tx": F.lit("t"), "chr": F.lit("c")})
+    e = spark.createDataFrame([("t", "c", 1, 10), ("u", "c", 1, 100), ("t", "d", 1, 100)], "tx string, chr string, start int, end int")
+    assert rows(M.on_exons(v, e, ["tx"]), "id", "start", "end", "ref", "another_start", "rescue") == sorted([
+        (2, 3, 3, None, None, "moved"), (3, 8, 10, "ac", None, "cut"), (4, 9, 10, "a", None, "inside"), (6, 9, 10, "a", None, "moved"), (7, 0, 4, "acgt", None, "cut"), (8, 4, 4, None, 7, "inside"),
+    ], key=str)
 
 
 def test_callers(spark):
