@@ -409,8 +409,9 @@ def breakpoint_pairs(spark, sf) -> DataFrame:
 
 @query(f"""WITH {T_SQL} SELECT tx, "start", row_number() OVER (PARTITION BY tx ORDER BY CASE WHEN strand = '+' THEN "start" ELSE -"start" END) AS exon_number FROM ex""")
 def exon_number(spark, sf) -> DataFrame:
-    n = F.row_number().over(Window.partitionBy("tx").orderBy(F.when(F.col("strand") == "+", F.col("start")).otherwise(-F.col("start"))))
-    return exons(spark, sf).select("tx", "start", n.cast("long").alias("exon_number"))
+    from ..operators.fusions import exon_numbers
+
+    return exon_numbers(exons(spark, sf), ["tx"]).select("tx", "start", "exon_number")
 
 
 _CALLS = f"""WITH {VAR_SQL},

@@ -69,9 +69,3 @@ def write(a: Assembly, folder: str) -> None:
 def number_report(a: Assembly) -> DataFrame:
     """Distinct reads and transcripts by phase."""
     return C.number_report({"aligned_reads": (a.reads, A.READ), "sample_transcripts": (a.sample_links, ["sample", "transcript_id"]), "transcripts": (a.transcripts, ["transcript_id"]), "linked_reads": (a.links, A.READ)})
-
-
-def fusion_bundle(junctions: DataFrame, block_rows: DataFrame, variants: DataFrame, classes: DataFrame) -> dict[str, DataFrame]:
-    """The tables of a fusion result, each with match_class (uni, multi, partial); unmatched reads are left out."""
-    keep = classes.filter("match_class <> 'unmatch'")
-    return {name: df.join(keep, A.READ) for name, df in {"sv": junctions, "blocks": block_rows, "variants": variants}.items()} | {"ids": keep}
