@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from spliceloom.functions.cs import tokens, variants
@@ -245,6 +246,54 @@ def test_stream(spark, tmp_path):
     assert spark.sql("SELECT token FROM tok ORDER BY pos").toPandas().token.tolist() == ["3", "+g", "2"]
 
 
+def test_sequence_files_in_many_blocks(spark, tmp_path):
+    rng = random.Random(3)
+    files = {}
+    for n in range(3):
+        records = [(f"r{n}_{i}", rng.choice(["", "a note > here"]), "".join(rng.choices("ACGTN", k=rng.choice([0, 1, 79, 80, 700, 5000])))) for i in range(12)]
+        lines = [x for i, d, q in records for x in [f">{i} {d}".strip(), *[q[k : k + 80] for k in range(0, len(q), 80)]]]
+        files[n] = records
+        (tmp_path / "fa").mkdir(exist_ok=True)
+        (tmp_path / "fa" / f"{n}.fa").write_text(rng.choice(["\n", "\r\n"]).join(lines))
+        reads = [x for i, _, q in records for x in (f"@{i} d", q, "+", "I" * len(q))]
+        (tmp_path / "fq").mkdir(exist_ok=True)
+        (tmp_path / "fq" / f"{n}.fq").write_text("\n".join(reads) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500b")
+    try:
+        every = sorted(r for x in files.values() for r in x)
+        assert sorted(map(tuple, text.read_fasta(spark, str(tmp_path / "fa")).collect())) == every
+        chunks = {}
+        for r in text.read_genome(spark, str(tmp_path / "fa"), 333).collect():
+            chunks[r.chr, r.chunk] = r.seq
+        assert chunks == {(i, k // 333): q[k : k + 333] for i, _, q in every for k in range(0, len(q), 333)}
+        fq = text.read_fastq(spark, str(tmp_path / "fq"))
+        assert sorted((r.id, r.description, r.sequence, r.quality) for r in fq.collect()) == [(i, "d", q, "I" * len(q)) for i, _, q in every]
+        assert fq.select("file", "record").distinct().count() == len(every) and fq.agg(F.max("record")).first()[0] == 11
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_records_without_a_sequence(spark, tmp_path):
+    (tmp_path / "f.fa").write_text(">a\n>b desc\nAC\nGT\n>c")
+    assert sorted(map(tuple, text.read_fasta(spark, str(tmp_path / "f.fa")).collect())) == [("a", "", ""), ("b", "desc", "ACGT"), ("c", "", "")]
+    (tmp_path / "e.fa").write_text("")
+    assert text.read_fasta(spark, str(tmp_path / "e.fa")).count() == text.read_genome(spark, str(tmp_path / "e.fa")).count() == 0
+
+
+def test_paf_counts_what_it_drops(spark, tmp_path):
+    line = "r{}\t9\t0\t9\t+\tc\t99\t0\t9\t9\t9\t60\t{}"
+    (tmp_path / "a.paf").write_text("\n".join(line.format(i, "cs:Z::9" if i % 3 else "cs:Z:*ac") for i in range(9)))
+    seen = Observation("paf")
+    assert text.read_paf(spark, str(tmp_path / "a.paf"), observation=seen).count() == 6
+    assert seen.get == {"dropped": 3, "rows": 9}
+    (tmp_path / "b.paf").write_text("\n".join(line.format(i, "tp:A:P") for i in range(20)))
+    with pytest.raises(ValueError, match="no cs tag"):
+        text.read_paf(spark, str(tmp_path / "b.paf"))
+    (tmp_path / "c.paf").write_text("\n".join(line.format(i, "tp:A:P") for i in range(19)))
+    assert text.read_paf(spark, str(tmp_path / "c.paf")).count() == 0
+
+
 def test_fasta_marks_inside_descriptions(spark, tmp_path):
     (tmp_path / "f").mkdir()
     (tmp_path / "f" / "a.fa").write_text(">a kinase A>B\nAC\nGT\n>b\r\nTT\r\n>c\nGG")
