@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.cs import variants
+from ..functions.cs import span, variants
 
 READ = ["sample", "seq_id"]
 ALN = [*READ, "aln"]
@@ -46,6 +46,12 @@ def read_variants(alignments: DataFrame) -> DataFrame:
     return found.join(keep.drop("cs").withColumnRenamed("start", "tx_start"), ALN)
 
 
+def end_mismatches(alignments: DataFrame, by: list[str]) -> DataFrame:
+    """Alignments whose difference string does not take up the bases from start to end: by, found, expected. Null strings count as none."""
+    out = alignments.select(*by, F.coalesce(span(F.col("cs")), F.lit(0)).alias("found"), (F.col("end") - F.col("start")).cast("long").alias("expected"))
+    return out.filter("found <> expected")
+
+
 def introns(variant_rows: DataFrame) -> DataFrame:
     """Introns of alignments, without alignments in which one intron starts where another ends (an insertion between)."""
     i = variant_rows.filter("type = '~'")

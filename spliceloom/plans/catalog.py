@@ -357,11 +357,6 @@ def canonical_sites(spark, sf) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", X.is_canonical(pick(["GT", "GC", "AT", "CC"], "o_orderkey"), pick(["AG", "AC", "TT"], "o_custkey")).alias("canonical"))
 
 
-@query()
-def repeat_unit(spark, sf) -> DataFrame:
-    return table(spark, sf, "part").select("p_partkey", X.repeat_unit(F.repeat(F.lower(F.substr("p_type", F.lit(1), F.lit(2))), (F.col("p_size") % 6 + 1).cast("int"))).alias("unit"))
-
-
 _GTF = """SELECT p_partkey, p_brand AS gene_id, p_name AS note, p_type AS kind FROM part"""
 
 
@@ -525,3 +520,6 @@ def gene_combination(spark, sf) -> DataFrame:
 
     iv = intervals(spark, sf).withColumn("name", F.when(F.col("st") != "view", F.col("st"))).withColumn("idx", F.struct("s", "e", "id"))
     return gene_combinations(iv, ["g"], "idx", "name").select("g", "gene_combination", "n_sv")
+
+
+from . import file_queries, variant_queries  # noqa: E402, F401  (they register themselves)

@@ -6,7 +6,7 @@ import pytest
 from spliceloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
 
 
 @pytest.fixture(scope="module")
