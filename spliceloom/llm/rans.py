@@ -4,8 +4,10 @@ One frequency table over the whole corpus, scaled to 2**20, is shared by all blo
 about BLOCK ids; its ids go round-robin over up to LANES interleaved coder states, which write 32-bit words into one
 stream. Every STRIDE steps the block keeps a checkpoint (step, words still to come, states), from which decoding can start,
 and it holds the checksums of its stream and of its ids. Files are Parquet tables written by Spark (freqs and blocks), so
-any store that Spark writes to will do. Documents are in ascending order of id (null first; repeated rows one by one);
-null and empty texts have the end id alone; an empty table gives empty files.
+any store that Spark writes to will do. A block's number is the position of its first id, so numbers ascend from file to
+file by name and are unique, however tasks were split. Documents are in ascending order of id (null first; repeated rows one by one);
+null and empty texts have the end id alone; an empty table gives empty files; other
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from .tokens import encoder
 
 SCALE_BITS, LANES, BLOCK, STRIDE = 20, 4096, 1 << 20, 128
 _LOW, _32, _MASK = np.uint64(1 << 31), np.uint64(32), np.uint64(0xFFFFFFFF)
-BLOCKS = "part int, block int, doc_ids array<long>, starts array<long>, n_tokens array<int>, n_ids int, stream binary, states binary, steps array<int>, to_come array<int>, checkpoints binary, stream_crc32 long, ids_crc32 long"
-_BLOCK_TYPE = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("n_ids", pa.int32()), ("stream", pa.binary()), ("states", pa.binary()), ("steps", pa.list_(pa.int32())), ("to_come", pa.list_(pa.int32())), ("checkpoints", pa.binary()), ("stream_crc32", pa.int64()), ("ids_crc32", pa.int64())])
+BLOCKS = "block long, doc_ids array<long>, starts array<long>, n_tokens array<int>, n_ids int, stream binary, states binary, steps array<int>, to_come array<int>, checkpoints binary, stream_crc32 long, ids_crc32 long"
+_BLOCK_TYPE = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int32())), ("n_ids", pa.int32()), ("stream", pa.binary()), ("states", pa.binary()), ("steps", pa.list_(pa.int32())), ("to_come", pa.list_(pa.int32())), ("checkpoints", pa.binary()), ("stream_crc32", pa.int64()), ("ids_crc32", pa.int64())])
 
 
 class Table:
@@ -73,18 +75,18 @@ def encode_block(ids: np.ndarray, table: Table, lanes: int = LANES, stride: int
     }
 
 
-def decode_block(b: dict, table: Table, checkpoint: int = -1, lanes: int = LANES) -> np.ndarray:
-    """Ids of a block, from its start or from one of its checkpoints on."""
+def decode_block(b: dict, table: Table, checkpoint: int = -1, stop: int | None = None) -> np.ndarray:
+    """Ids of a block, from its start or from one of its checkpoints on, to its end or to step `stop`."""
     if zlib.crc32(b["stream"]) != b["stream_crc32"]:
         raise ValueError("the block's stream does not match its checksum")
     n, words = b["n_ids"], np.frombuffer(b["stream"], "<u4").astype(np.uint64)
-    width = max(1, min(lanes, n))
-    steps, first, at = -(-n // width), 0, 0
+    width = max(1, len(b["states"]) // 8)
+    steps, first, at = -(-n // width) if stop is None else stop, 0, 0
     x = np.frombuffer(b["states"], "<u8").astype(np.uint64)
     if checkpoint >= 0:
         first, at = b["steps"][checkpoint], len(words) - b["to_come"][checkpoint]
         x = np.frombuffer(b["checkpoints"], "<u8")[checkpoint * width : (checkpoint + 1) * width].astype(np.uint64)
-    ids = np.empty(n - first * width, np.uint16)
+    ids = np.empty(min(n, steps * width) - first * width, np.uint16)
     low = np.uint64((1 << SCALE_BITS) - 1)
     for t in range(first, steps):
         m = min(width, n - t * width)
@@ -96,7 +98,7 @@ def decode_block(b: dict, table: Table, checkpoint: int = -1, lanes: int = LANES
         y[short] = y[short] << _32 | words[at : at + len(short)]
         at += len(short)
         x[:m] = y
-    if checkpoint < 0 and zlib.crc32(ids.astype("<u2").tobytes()) != b["ids_crc32"]:
+    if checkpoint < 0 and stop is None and zlib.crc32(ids.astype("<u2").tobytes()) != b["ids_crc32"]:
         raise ValueError("the block's ids do not match their checksum")
     return ids
 
@@ -144,7 +146,7 @@ def frequencies(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     return out
 
 
-def write_files(tokens: DataFrame, path: str, vocabulary: int) -> None:
+def write_files(tokens: DataFrame, path: str, vocabulary: int, lanes: int = LANES, stride: int = STRIDE) -> None:
     """Token rows (a written table) as a file set at path: freqs and blocks."""
     spark = tokens.sparkSession
     freq = scaled(frequencies(tokens, vocabulary))
@@ -156,32 +158,41 @@ def write_files(tokens: DataFrame, path: str, vocabulary: int) -> None:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bases = Table(shared.value[0]), shared.value[1]
 
-        def block(key: tuple[int, int], docs: list) -> pa.RecordBatch:
+        def block(docs: list) -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(d[2] for d in docs), "<u2")
-            row = {"part": key[0], "block": key[1], "doc_ids": [d[0] for d in docs], "starts": [bases[key[0]] + d[1] for d in docs], "n_tokens": [len(d[2]) // 2 for d in docs]}
-            return pa.RecordBatch.from_pylist([row | encode_block(ids, table)], _BLOCK_TYPE)
+            row = {"block": docs[0][1], "doc_ids": [d[0] for d in docs], "starts": [d[1] for d in docs], "n_tokens": [len(d[2]) // 2 for d in docs]}
+            return pa.RecordBatch.from_pylist([row | encode_block(ids, table, lanes, stride)], _BLOCK_TYPE)
 
-        part, number, docs, size = None, 0, [], 0
+        part, docs, size = None, [], 0
         for batch in batches:
             for p, before, doc, _, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if docs and (p != part or size >= BLOCK):
-                    yield block((part, number), docs)
-                    number, docs, size = number + 1 if p == part else 0, [], 0
+                    yield block(docs)
+                    docs, size = [], 0
                 part = p
-                docs.append((doc, before, ids))
+                docs.append((doc, bases[p] + before, ids))
                 size += len(ids) // 2
         if docs:
-            yield block((part, number), docs)
+            yield block(docs)
 
-    tokens.filter("n >= 0").mapInArrow(encode, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    # files hold equal stretches of positions in ascending order, whatever splits the tasks before read
+    total = max(1, sum(totals.values()))
+    files = max(1, min(partitions(spark), -(-total // BLOCK)))
+    blocks = tokens.filter("n >= 0").mapInArrow(encode, BLOCKS)
+    blocks = blocks.repartitionById(files, F.floor(F.col("block") * files / total).cast("int")).sortWithinPartitions("block")
+    blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 
 
-def _decoded(spark: SparkSession, path: str, each, fields: str) -> DataFrame:
+def _table(spark: SparkSession, path: str) -> np.ndarray:
     freqs = spark.read.parquet(f"{path}/freqs").collect()  # no longer than the vocabulary
     freq = np.zeros(1 + max((r["id"] for r in freqs), default=0), np.int64)
     for r in freqs:
         freq[r["id"]] = r["freq"]
-    shared = spark.sparkContext.broadcast(freq)
+    return freq
+
+
+def _decoded(spark: SparkSession, path: str, each, fields: str) -> DataFrame:
+    shared = spark.sparkContext.broadcast(_table(spark, path))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(shared.value)
@@ -193,6 +204,35 @@ def _decoded(spark: SparkSession, path: str, each, fields: str) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(f"{path}/blocks").mapInArrow(decode, fields)
 
 
+def read_stretch(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """start and ids of all ids at positions first to last (inclusive) of a file set, one row for each stretch between checkpoints.
+
+    Blocks that end before or begin behind are left out; the others are decoded from their checkpoints on, each stretch
+    as a row of its own that any task can work on."""
+    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").filter((F.col("block") <= last) & (F.col("block") + F.col("n_ids") > first))
+    pieces = blocks.select("block", "n_ids", "stream", "states", "steps", "to_come", "checkpoints", "stream_crc32", "ids_crc32", F.explode(F.sequence(F.lit(-1), F.size("steps") - 1)).alias("nth"))
+    shared = spark.sparkContext.broadcast(_table(spark, path))
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Table(shared.value)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                b = batch.slice(i, 1).to_pylist()[0]
+                n, order = b["n_ids"], sorted(range(len(b["steps"])), key=lambda k: b["steps"][k])
+                width = len(b["states"]) // 8
+                nth = order[b["nth"]] if b["nth"] >= 0 else -1
+                lo = b["steps"][nth] * width if nth >= 0 else 0
+                after = [b["steps"][k] for k in order][b["nth"] + 1 :]
+                hi = min(n, after[0] * width) if after else n
+                if b["block"] + hi <= first or b["block"] + lo > last:
+                    continue
+                ids = decode_block(b, table, nth, stop=after[0] if after else None)
+                x, y = max(0, first - b["block"] - lo), min(hi - lo, last + 1 - b["block"] - lo)
+                yield pa.RecordBatch.from_arrays([pa.array([b["block"] + lo + x]), pa.array([ids[x:y].astype(np.int32)], pa.list_(pa.int32()))], names=["start", "ids"])
+
+    return pieces.mapInArrow(decode, "start long, ids array<int>")
+
+
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, ids of every document in a file set."""
 

@@ -176,15 +176,39 @@ def test_rans_round_trip(spark, docs, empty, tmp_path):
     assert rans.round_trip(empty, str(tmp_path / "b"), WORDS, 1, 49_408).count() == 0
 
 
+def test_rans_files_are_in_order(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(rans, "BLOCK", 500)
+    old = spark.sparkContext._jsc.hadoopConfiguration().get("parquet.block.size")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "2048")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000b")
+    try:
+        rans.write_files(rans.written(rans.token_rows(docs, WORDS, 1, 49_408), "tokens"), str(tmp_path / "o"), 49_408, 64, 3)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size") if old is None else spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", old)
+    rows = spark.read.parquet(str(tmp_path / "o/blocks")).select("block", "doc_ids", "starts", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at")).collect()
+    rows.sort(key=lambda r: (r["file"], r["at"]))
+    assert len({r["file"] for r in rows}) > 1 and len({r["block"] for r in rows}) == len(rows) > 8
+    starts, ids = ([x for r in rows for x in r[c]] for c in ("starts", "doc_ids"))
+    assert starts == sorted(starts) and ids == [i for i, _ in local(docs)]
+    every = [x for _, t in local(docs) for x in library_ids(WORDS, t, 1)]
+    for first, last in ((0, len(every)), (700, 2500), (1203, 1203)):
+        got = sorted((r.start, r.ids) for r in rans.read_stretch(spark, str(tmp_path / "o"), first, last).collect())
+        assert [x for _, part in got for x in part] == every[first : last + 1] and got[0][0] == first
+    assert len(got) == 1
+
+
 def test_rans_checkpoints_and_checksums():
     ids = np.random.default_rng(1).integers(0, 300, 10_000).astype(np.uint16)
     table = rans.Table(rans.scaled(np.bincount(ids, minlength=400)))
     b = rans.encode_block(ids, table, lanes=16, stride=100)
-    assert np.array_equal(rans.decode_block(b, table, lanes=16), ids) and len(b["steps"]) == 6
+    assert np.array_equal(rans.decode_block(b, table), ids) and len(b["steps"]) == 6
     for k, step in enumerate(b["steps"]):
-        assert np.array_equal(rans.decode_block(b, table, k, lanes=16), ids[step * 16 :])
+        assert np.array_equal(rans.decode_block(b, table, k), ids[step * 16 :])
+        assert np.array_equal(rans.decode_block(b, table, k, stop=step + 7), ids[step * 16 : (step + 7) * 16])
     with pytest.raises(ValueError, match="checksum"):
-        rans.decode_block(b | {"stream": b["stream"][:-1] + bytes([b["stream"][-1] ^ 1])}, table, lanes=16)
+        rans.decode_block(b | {"stream": b["stream"][:-1] + bytes([b["stream"][-1] ^ 1])}, table)
     one = np.zeros(5, np.uint16)
     table = rans.Table(rans.scaled(np.bincount(one, minlength=2)))
     assert np.array_equal(rans.decode_block(rans.encode_block(one, table), table), one)
