@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranges import numbered
 from .sequences import subsequences
 
 
@@ -76,11 +77,30 @@ def sam_body(exons: DataFrame, variants: DataFrame, genome: DataFrame, by: str,
     return full.select(F.concat_ws("\t", F.col(by).cast("string"), flag, "chr", first, F.lit("255"), F.col("r.cigar"), F.lit("*"), F.lit("0"), F.lit("0"), F.col("r.seq"), F.lit("*")).alias("value"))
 
 
-def sam_header(fasta: DataFrame, program: str = "spliceloom") -> DataFrame:
-    """@SQ line per sequence (id, sequence) in the order of the table, then a @PG line."""
-    sq = fasta.select(F.lit(1).alias("o"), F.monotonically_increasing_id().alias("n"), F.concat(F.lit("@SQ\tSN:"), "id", F.lit("\tLN:"), F.length("sequence").cast("string")).alias("value"))
-    pg = fasta.limit(1).select(F.lit(2).alias("o"), F.lit(0).cast("long").alias("n"), F.lit(f"@PG\tID:{program}\tPN:{program}").alias("value"))
-    return sq.unionByName(pg).orderBy("o", "n").select("value")
+def sam_header(fasta: DataFrame, order: list[str] | None = None, program: str = "spliceloom") -> DataFrame:
+    """@SQ line per sequence (id, and length or sequence), then a @PG line, as o, n and value: sort by o and n.
+
+    order: columns that tell the order of sequences, such as file and record of read_fasta_index; without it they go by id."""
+    length = F.col("length") if "length" in fasta.columns else F.length("sequence")
+    rank = F.struct(*[F.col(c) for c in order or ["id"]])
+    sq = fasta.select(rank.alias("n"), F.concat(F.lit("@SQ\tSN:"), "id", F.lit("\tLN:"), length.cast("string")).alias("value"))
+    sq = numbered(sq, ["n"], "nth").select(F.lit(1).alias("o"), F.col("nth").alias("n"), "value")
+    pg = fasta.sparkSession.range(1).select(F.lit(2).alias("o"), F.lit(0).cast("long").alias("n"), F.lit(f"@PG\tID:{program}\tPN:{program}").alias("value"))
+    return sq.unionByName(pg)
+
+
+def write_sam(body: DataFrame, fasta: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """Header and lines (value) as text files that make one SAM file in the order of their names: lines go by the place of
+    their sequence in the header, then by position; those of unknown sequences come last."""
+    head = sam_header(fasta, order)
+    named = F.split_part(F.col("value"), F.lit("\t"), F.lit(2))
+    ranks = head.filter("o = 1").select(F.substr(named, F.lit(4)).alias("chr"), F.col("n").alias("rank"))
+    field = lambda i: F.split_part(F.col("value"), F.lit("\t"), F.lit(i))
+    lines = body.select("value", field(3).alias("chr"), field(4).cast("long").alias("at"), field(1).alias("id")).join(ranks, "chr", "left")
+    lines = lines.select(F.lit(3).alias("o"), F.coalesce("rank", F.lit((1 << 62))).alias("n"), "at", "id", "value")
+    every = head.select("o", "n", F.lit(0).cast("long").alias("at"), F.lit("").alias("id"), "value").unionByName(lines)
+    by = ["o", "n", "at", "id", "value"]
+    every.repartitionByRange(*by).sortWithinPartitions(*by).select("value").write.text(path)
 
 
 def known_chromosomes(rows: DataFrame, fasta: DataFrame) -> tuple[DataFrame, DataFrame]:

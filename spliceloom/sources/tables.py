@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Columns of the input files.
 MANIFEST = ["sample", "long_read_hq", "long_read_lq", "short_read_1", "short_read_2", "cluster_report", "SJ", "mutation", "sv"]
-OPTIONAL = {"cluster_report", "SJ", "mutation", "sv", "long_read_lq", "short_read_1", "short_read_2"}
+WHOLE = ["cluster_report", "SJ"]
 INTRA_LINKS = "gene_id string, transcript_id string, seq_id string, type string"
 INTER_LINKS = "gene_id string, transcript_id string, sample string, g_id_sample string, tx_id_sample string, seq_id string, type string, intra_type string, inter_type string"
 VARIANT = "seq_id string, chr string, type string, start int, end int, ref string, alt string, tx_start int, tx_end int, tx_strand string, sample string"
@@ -17,26 +17,35 @@ STRUCTURAL = "Chr_1 string, Pos_1 int, Dir_1 string, Chr_2 string, Pos_2 int, Di
 
 
 def read_manifest(spark: SparkSession, path, required: tuple[str, ...] = ("sample", "long_read_hq")) -> DataFrame:
-    """All-text manifest with known columns (absent ones null). Raises for absent required columns, null values in them, or repeated samples."""
+    """All-text manifest with known columns (absent ones null). Raises for absent required columns, null values in them, optional
+    columns that must be whole and are not, or repeated samples."""
     raw = spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
     absent = [c for c in required if c not in raw.columns]
     if absent:
         raise ValueError(f"the manifest lacks {', '.join(absent)}")
     out = raw.select(*[F.col(c).cast("string") if c in raw.columns else F.lit(None).cast("string").alias(c) for c in MANIFEST])
-    nulls = out.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required], F.count(F.lit(1)).alias("n"), F.countDistinct("sample").alias("d")).first()
+    # an optional column names files for all samples or for none, but for calls, which some samples may lack
+    some = [c for c in WHOLE if c not in required]
+    nulls = out.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in (*required, *some)], F.count(F.lit(1)).alias("n"), F.countDistinct("sample").alias("d")).first()
     if bad := [c for c in required if nulls[c]]:
         raise ValueError(f"the manifest has empty values in {', '.join(bad)}")
+    if bad := [c for c in some if 0 < nulls[c] < nulls["n"]]:
+        raise ValueError(f"the manifest names {', '.join(bad)} for some samples only")
     if nulls["n"] != nulls["d"]:
         raise ValueError("the manifest repeats a sample")
     return out
 
 
-def read_samples(spark: SparkSession, manifest: DataFrame, column: str, read) -> DataFrame:
-    """One table of all samples: read(spark, path) of each file named in a manifest column, with its sample. The manifest is small."""
+def read_samples(spark: SparkSession, manifest: DataFrame, column: str, read, schema: str | None = None) -> DataFrame | None:
+    """One table of all samples: read(spark, path) of each file named in a manifest column, with its sample. The manifest is small.
+
+    If no sample names a file the result is an empty table of the schema with a sample column, or None without a schema."""
     out = None
     for r in manifest.select("sample", column).filter(F.col(column).isNotNull()).collect():
         part = read(spark, r[column]).withColumn("sample", F.lit(r["sample"]))
         out = part if out is None else out.unionByName(part)
+    if out is None and schema:
+        return spark.createDataFrame([], f"{schema}, sample string")
     return out
 
 

@@ -139,6 +139,13 @@ def read_fasta(spark: SparkSession, path) -> DataFrame:
     return whole.select("id", "description", F.coalesce("sequence", F.lit("")).alias("sequence"))
 
 
+def read_fasta_index(spark: SparkSession, path) -> DataFrame:
+    """id, length, file and record (the place in the file) of every record."""
+    names, lines = _fasta_lines(spark, path)
+    sizes = lines.groupBy("file", "record").agg(F.sum(F.length("bases").cast("long")).alias("length"))
+    return names.join(sizes, ["file", "record"], "left").select("id", F.coalesce("length", F.lit(0)).alias("length"), "file", "record")
+
+
 def read_genome(spark: SparkSession, path, width: int = 1_000_000) -> DataFrame:
     """FASTA records as (chr, chunk, seq) of `width` bases each, cut while they are read: no row holds more than a chunk or a line."""
     names, lines = _fasta_lines(spark, path)
