@@ -2,59 +2,58 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ranges import numbered
 from .sequences import subsequences
 
 
-def cigar_and_sequence(exons: list[tuple[int, int, str]], variants: list[tuple[int, int, str, str | None]]) -> tuple[str, str]:
-    """exons: (start, end, bases), 1-based closed, ascending. variants: (start, end, type, alt), 0-based half-open.
+def _ops(state: Column, at: Column, more: list[tuple[Column, str]], bases: Column, used: Column, last: Column) -> Column:
+    """The next state: position, operations with those of `more` that are not empty, bases, last used variant, end of the last exon."""
+    new = F.filter(F.array(*[F.struct(n.cast("long").alias("n"), F.lit(op).alias("op")) for n, op in more]), lambda x: x["n"] > 0)
+    return F.struct(at.cast("long").alias("at"), F.concat(state["ops"], new).alias("ops"), F.concat(state["seq"], bases).alias("seq"), used.cast("int").alias("used"), last.cast("long").alias("last"))
 
-    Matches and substitutions are M, gaps between exons N, deletions D, insertions I. An insertion at an exon's edge
-    belongs to the exon that it follows. Variants outside the exons are left out.
+
+def _with_variant(state: Column, v: Column, exon: Column) -> Column:
+    """State after a variant, or as it was if the variant does not lie on what is left of the exon."""
+    gap, kind, alt = v["start"] - state["at"], v["type"], F.upper(F.coalesce(v["alt"], F.lit("")))
+    fits = (v["nth"] > state["used"]) & (v["start"] >= state["at"]) & (v["start"] <= exon["end"]) & ((kind == "+") | (v["end"] <= exon["end"]))
+    before = F.substr(exon["seq"], (state["at"] - exon["start"] + 2).cast("int"), gap.cast("int"))
+    width = v["end"] - v["start"]
+    more = [(gap, "M"), (F.when(kind == "+", F.length(alt)).otherwise(0), "I"), (F.when(kind == "-", width).otherwise(0), "D"), (F.when(kind == "*", 1).otherwise(0), "M")]
+    placed = _ops(state, F.when(kind == "+", v["start"]).otherwise(v["end"]), more, F.concat(before, F.when(kind == "-", "").otherwise(alt)), v["nth"], state["last"])
+    return F.when(fits, placed).otherwise(state)
+
+
+def cigar_and_sequence(exons: Column, variants: Column) -> tuple[Column, Column]:
+    """CIGAR and bases of a transcript, as expressions over its arrays.
+
+    exons: array of (start, end, seq), 1-based closed, ascending. variants: array of (start, end, type, alt), 0-based half-open,
+    in any order. Matches and substitutions are M, gaps between exons N, deletions D, insertions I. An insertion at an exon's edge
+    belongs to the exon that it follows. Variants off the exons, over an edge, or inside an earlier one are left out.
     """
-    ops: list[list] = []
-    bases: list[str] = []
-
-    def put(n: int, op: str) -> None:
-        if n > 0:
-            if ops and ops[-1][1] == op:
-                ops[-1][0] += n
-            else:
-                ops.append([n, op])
-
-    last = None
-    order = {"+": 0, "-": 1, "*": 1}
-    todo = sorted((v for v in variants if v[2] in order), key=lambda v: (v[0], order[v[2]]))
-    used: set[int] = set()
-    for start, end, seq in exons:
-        if last is not None:
-            put(start - last - 1, "N")
-        at = start - 1
-        for k, (a, b, kind, alt) in enumerate(todo):
-            if k in used or a < at or a > end or (kind != "+" and b > end):
-                continue
-            put(a - at, "M")
-            bases.append(seq[at - start + 1 : a - start + 1])
-            at = a
-            used.add(k)
-            if kind == "+":
-                put(len(alt or ""), "I")
-                bases.append((alt or "").upper())
-            elif kind == "-":
-                put(b - a, "D")
-                at = b
-            else:
-                put(1, "M")
-                bases.append((alt or "").upper())
-                at = b
-        put(end - at, "M")
-        bases.append(seq[at - start + 1 :])
-        last = end
-    return "".join(f"{n}{op}" for n, op in ops), "".join(bases)
+    order = F.transform(F.filter(variants, lambda v: v["type"].isin("+", "-", "*")), lambda v: F.struct(v["start"].alias("start"), F.when(v["type"] == "+", 0).otherwise(1).alias("o"), v["end"].alias("end"), v["type"].alias("type"), v["alt"].alias("alt")))
+    todo = F.transform(F.array_sort(order), lambda v, i: F.struct(v["start"].alias("start"), v["end"].alias("end"), v["type"].alias("type"), v["alt"].alias("alt"), (i + 1).alias("nth")))
+    none = F.expr("cast(array() as array<struct<n:bigint,op:string>>)")
+    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("ops"), F.lit("").alias("seq"), F.lit(0).alias("used"), F.lit(None).cast("long").alias("last"))
+
+    def exon(state: Column, x: Column) -> Column:
+        begun = _ops(state, x["start"] - 1, [(F.coalesce(x["start"] - state["last"] - 1, F.lit(0)), "N")], F.lit(""), state["used"], state["last"])
+        return F.aggregate(todo, begun, lambda t, v: _with_variant(t, v, x), lambda t: _ops(t, x["end"], [(x["end"] - t["at"], "M")], F.substr(x["seq"], (t["at"] - x["start"] + 2).cast("int")), t["used"], x["end"]))
+
+    whole = F.aggregate(exons, start, exon)
+    runs = F.aggregate(
+        whole["ops"],
+        F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("n"), F.lit("").alias("op")),
+        lambda s, x: F.when(s["op"] == x["op"], F.struct(s["text"].alias("text"), (s["n"] + x["n"]).alias("n"), s["op"].alias("op"))).otherwise(F.struct(_said(s).alias("text"), x["n"].alias("n"), x["op"].alias("op"))),
+        _said,
+    )
+    return runs, whole["seq"]
+
+
+def _said(s: Column) -> Column:
+    return F.when(s["n"] > 0, F.concat(s["text"], s["n"].cast("string"), s["op"])).otherwise(s["text"])
 
 
 def sam_body(exons: DataFrame, variants: DataFrame, genome: DataFrame, by: str, width: int) -> DataFrame:
@@ -62,19 +61,12 @@ def sam_body(exons: DataFrame, variants: DataFrame, genome: DataFrame, by: str,
     parts = subsequences(exons.select(by, "chr", "strand", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")), genome, width)
     rows = parts.groupBy(by, "chr", "strand").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.coalesce("seq", F.lit("")).alias("seq")))).alias("e"))
     v = variants.groupBy(by).agg(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "type", "alt")).alias("v"))
-
-    @F.arrow_udf("struct<cigar:string,seq:string>")
-    def build(e: pa.Array, v: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(e.to_pylist(), v.to_pylist(), strict=True):
-            cigar, seq = cigar_and_sequence([(i["start"], i["end"], i["seq"]) for i in x], [(i["start"], i["end"], i["type"], i["alt"]) for i in y or []])
-            out.append({"cigar": cigar, "seq": seq})
-        return pa.array(out, pa.struct([("cigar", pa.string()), ("seq", pa.string())]))
-
-    full = rows.join(v, by, "left").withColumn("r", build("e", "v"))
+    none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,type:string,alt:string>>)")
+    full = rows.join(v, by, "left").withColumn("v", F.coalesce("v", none))
+    cigar, bases = cigar_and_sequence(F.col("e"), F.col("v"))
     flag = F.when(F.col("strand") == "-", "16").otherwise("0")
     first = F.get("e", F.lit(0))["start"].cast("string")
-    return full.select(F.concat_ws("\t", F.col(by).cast("string"), flag, "chr", first, F.lit("255"), F.col("r.cigar"), F.lit("*"), F.lit("0"), F.lit("0"), F.col("r.seq"), F.lit("*")).alias("value"))
+    return full.select(F.concat_ws("\t", F.col(by).cast("string"), flag, "chr", first, F.lit("255"), cigar, F.lit("*"), F.lit("0"), F.lit("0"), bases, F.lit("*")).alias("value"))
 
 
 def sam_header(fasta: DataFrame, order: list[str] | None = None, program: str = "spliceloom") -> DataFrame:

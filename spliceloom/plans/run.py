@@ -111,6 +111,7 @@ def write_run(outcome: Outcome, folder: str) -> None:
     if outcome.fusions is not None:
         write_fusions(outcome.fusions, f"{folder}/fusions")
         write_tsv(outcome.summary, f"{folder}/fusion_summary")
+        write_gtf(FU.fusion_annotation(outcome.fusions.exons, outcome.summary), f"{folder}/fusions.gtf")
     write_by_place(outcome.placed, f"{folder}/alignments")
 
 

@@ -17,6 +17,16 @@ def write_by_sample(df: DataFrame, path: str) -> None:
     df.repartition("sample").write.partitionBy("sample").csv(path, sep="\t", header=True)
 
 
+def write_matrix(df: DataFrame, key: str, path: str) -> None:
+    """Tab-separated with the key as row names: the header names the other columns alone. Files in the order of their names
+    make one table by key; null is NA."""
+    rest = [c for c in df.columns if c != key]
+    line = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NA")) for c in (key, *rest)])
+    head = df.sparkSession.range(1).select(F.lit(0).alias("o"), F.lit("").alias("k"), F.lit("\t".join(rest)).alias("value"))
+    rows = head.unionByName(df.select(F.lit(1).alias("o"), F.col(f"`{key}`").cast("string").alias("k"), line.alias("value")))
+    rows.repartitionByRange("o", "k").sortWithinPartitions("o", "k").select("value").write.text(path)
+
+
 def gtf_lines(df: DataFrame, rename: dict[str, str] | None = None, default: str = ".") -> DataFrame:
     """GTF lines (value): absent columns get the default, a null strand `*`, other columns become attributes, nulls left out."""
     df = df.withColumnsRenamed(rename or {})

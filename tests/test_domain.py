@@ -184,12 +184,63 @@ def test_summary(spark):
     assert [tuple(r) for r in FU.fusion_summary(b, names, counts).collect()] == [("s", "q", "novel_B_novel", None, None, 2), ("s", "r", "A_1_novel", 2, 1, 1)]
 
 
-def test_cigar():
+def cigar_by_hand(exons, variants):
+    ops, bases, last, used = [], "", None, set()
+
+    def put(n, op):
+        if n > 0:
+            ops[-1:] = [(ops[-1][0] + n, op)] if ops and ops[-1][1] == op else [*ops[-1:], (n, op)]
+
+    todo = sorted((v for v in variants if v[2] in "+-*"), key=lambda v: (v[0], v[2] != "+", v[1], v[2], v[3] or ""))
+    for start, end, seq in exons:
+        put(start - last - 1 if last is not None else 0, "N")
+        at = start - 1
+        for k, (a, b, kind, alt) in enumerate(todo):
+            if k in used or a < at or a > end or (kind != "+" and b > end):
+                continue
+            put(a - at, "M")
+            bases += seq[at - start + 1 : a - start + 1] + ((alt or "").upper() if kind != "-" else "")
+            put(*{"+": (len(alt or ""), "I"), "-": (b - a, "D"), "*": (1, "M")}[kind])
+            at = a if kind == "+" else b
+            used.add(k)
+        put(end - at, "M")
+        bases += seq[at - start + 1 :]
+        last = end
+    return "".join(f"{n}{op}" for n, op in ops), bases
+
+
+def test_cigar(spark):
     exons = [(1, 10, "ACGTACGTAC"), (21, 30, "GGGGGCCCCC")]
     v = [(2, 3, "*", "t"), (5, 5, "+", "aa"), (22, 24, "-", None), (50, 51, "*", "a")]
-    cigar, seq = cigar_and_sequence(exons, v)
-    assert cigar == "5M2I5M10N2M2D6M" and seq == "ACTTAAACGTACGGGCCCCC"
-    assert cigar_and_sequence(exons, []) == ("10M10N10M", "ACGTACGTACGGGGGCCCCC")
+    assert cigar_by_hand(exons, v) == ("5M2I5M10N2M2D6M", "ACTTAAACGTACGGGCCCCC")
+    rng, cases = random.Random(6), []
+    for i in range(300):
+        e, at = [], rng.randrange(1, 5)
+        for _ in range(rng.randrange(1, 5)):
+            n = rng.randrange(1, 12)
+            e.append((at, at + n - 1, "".join(rng.choices("ACGT", k=n))))
+            at += n + rng.choice([0, 1, 5])
+        vs = []
+        for _ in range(rng.randrange(7)):
+            s, kind = rng.randrange(at + 3), rng.choice("+-*~")
+            vs.append((s, s + {"+": 0, "-": rng.randrange(1, 5), "*": 1, "~": 3}[kind], kind, {"+": rng.choice(["a", "gg", None]), "-": None, "*": "t", "~": None}[kind]))
+        cases.append((i, e, vs))
+    cases.append((300, exons, v))
+    df = spark.createDataFrame(cases, "id int, e array<struct<start:long,end:long,seq:string>>, v array<struct<start:long,end:long,type:string,alt:string>>")
+    cigar, bases = cigar_and_sequence(F.col("e"), F.col("v"))
+    got = {r["id"]: (r["c"], r["s"]) for r in df.select("id", cigar.alias("c"), bases.alias("s")).collect()}
+    for i, e, vs in cases:
+        assert got[i] == cigar_by_hand(e, vs), (e, vs)
+
+
+def test_matrix_and_fusion_annotation(spark, tmp_path):
+    m = spark.createDataFrame([("t2", "1.50", None), ("t1", "0", "3")], "Name string, s1 string, s2 string")
+    sinks.write_matrix(m, "Name", str(tmp_path / "m"))
+    files = sorted(p for p in (tmp_path / "m").iterdir() if p.name.startswith("part"))
+    assert [x for p in files for x in p.read_text().splitlines()] == ["s1\ts2", "t1\t0\t3", "t2\t1.50\tNA"]
+    e = spark.createDataFrame([("s", "r", "c", "+", 1, 5, 1), ("s", "q", "c", "+", 1, 5, 1)], "sample string, seq_id string, chr string, strand string, start long, end long, exon_number long")
+    g = FU.fusion_annotation(e, spark.createDataFrame([("s", "r", "A_B")], "sample string, seq_id string, gene_combination string"))
+    assert [r.value for r in sinks.gtf_lines(g).collect()] == ['c\ts\texon\t1\t5\t.\t+\t.\tgene_id "A_B"; transcript_id "r"; exon_number "1";']
 
 
 def test_sam_lines(spark):
