@@ -4,7 +4,8 @@ Each input partition makes a run: one entry for each digest, found by a sorted a
 merged 2**bits at a time (run number shifted right), so that after a few rounds one run is left, spread over tasks by
 its digests; an entry holds the group's size and its best row. Entries merge only when the SHA-256, the byte length
 and a second 64-bit hash agree, so a collision of one hash never joins two texts. Aggregation before each exchange
-keeps a hot group at one entry per task. Null texts count as empty; null ids sort last; repeated rows count each.
+keeps a hot group at one entry per task. Null texts count as empty; null ids sort last; repeated rows count each; ties in length
+go to the smallest id; texts are worked on whole at any length; an empty table gives no rows, and other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import free, written
 
 _NO_ID = (1 << 63) - 1
 _KEY = ["__digest", "__bytes", "__check"]
@@ -64,18 +65,19 @@ def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits
 
 
 def drop_exact_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df without later copies, all columns. Rows that repeat an id and a text become one; rows without an id stay."""
-    groups = exact_groups(df, doc_id, text).select(F.col(f"`{doc_id}`").alias("__gone"), "kept", F.col("text_sha256").alias("__sha"))
-    groups = written(groups, "groups").filter("__gone IS NOT NULL")
-    by_id = groups.groupBy("__gone").agg(F.count(F.lit(1)).alias("__rows"), F.max("kept").alias("__kept"))
-    same = F.col(f"`{doc_id}`") == F.col("__gone")
-    once = df.join(by_id.filter("NOT __kept OR __rows > 1").select("__gone"), same, "left_anti")
-    repeated = by_id.filter("__rows > 1").select("__gone")
+    """df without later copies, all columns, whatever their names. Rows that repeat an id and a text become one; rows without an id stay."""
+    gone, sha = free(df, "__gone"), free(df, "__sha")
+    groups = exact_groups(df, doc_id, text).select(F.col(f"`{doc_id}`").alias(gone), F.col("kept").alias("__best"), F.col("text_sha256").alias(sha))
+    groups = written(groups, "groups").filter(F.col(gone).isNotNull())
+    by_id = groups.groupBy(gone).agg(F.count(F.lit(1)).alias("__rows"), F.max("__best").alias("__kept"))
+    same = F.col(f"`{doc_id}`") == F.col(gone)
+    once = df.join(by_id.filter("NOT __kept OR __rows > 1").select(gone), same, "left_anti")
+    repeated = by_id.filter("__rows > 1").select(gone)
     if repeated.isEmpty():
         return once
     own = F.sha2(normalised(F.col(f"`{text}`")).cast("binary"), 256)
-    rows = df.join(repeated, same, "left_semi").join(groups.filter("kept").select("__gone", "__sha").distinct(), same & (own == F.col("__sha")), "left_semi")
-    best = rows.groupBy(F.col(f"`{doc_id}`").alias("__gone"), own.alias("__sha")).agg(F.max_by(F.struct(*(F.col(f"`{c}`") for c in df.columns)), F.coalesce(F.length(f"`{text}`"), F.lit(0))).alias("__row"))
+    rows = df.join(repeated, same, "left_semi").join(groups.filter("__best").select(gone, sha).distinct(), same & (own == F.col(sha)), "left_semi")
+    best = rows.groupBy(F.col(f"`{doc_id}`").alias("__i"), own.alias("__s")).agg(F.max_by(F.struct(*(F.col(f"`{c}`") for c in df.columns)), F.coalesce(F.length(f"`{text}`"), F.lit(0))).alias("__row"))
     return once.unionByName(best.select("__row.*"))
 
 

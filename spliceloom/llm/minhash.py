@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes, written
+from .common import free, slices, text_bytes, written
 from .components import components
 from .words import LOWER, SPACE, mix, span_hashes, split
 
@@ -385,7 +385,11 @@ def settled_links(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, recall: float = 0.99999) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept (one row id of each component stays)."""
+    """Per row: doc_id, n_shingles, component_id, kept (one row id of each component stays).
+
+    Null texts count as empty; texts without words have no shingles and are linked with nothing. Rows without an id take
+    no part in links and have a null component. Rows that repeat an id are one document. Of a component the smallest id
+    stays, so nothing hangs on ties. An empty table gives no rows; other columns are not looked at."""
     similarity = percent / 100
     trees, bits = tree_count(similarity, recall), most_bits(similarity)
     table = written(sketch_table(df, doc_id, text, width), "sketches")  # mins are read once more, for the representatives
@@ -428,6 +432,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
 
 
 def drop_near_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """df with one row id of each group of near copies, all columns."""
-    gone = near_duplicates(df, doc_id, text, width, percent).filter("NOT kept").select(F.col(doc_id).alias("__gone")).distinct()
-    return df.join(gone, F.col(f"`{doc_id}`") == F.col("__gone"), "left_anti")
+    """df with one row id of each group of near copies, all columns, whatever their names; rows without an id stay."""
+    gone = free(df, "__gone")
+    rows = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    copies = near_duplicates(rows, width=width, percent=percent).filter("NOT kept").select(F.col("doc_id").alias(gone)).distinct()
+    return df.join(copies, F.col(f"`{doc_id}`") == F.col(gone), "left_anti")

@@ -3,7 +3,8 @@
 A document of n ids becomes n // longest pieces of the longest length and one piece for each binary digit of the rest, in
 order. A piece is a sequence of its own; sequences of one length form a bucket, so no sequence crosses documents and none
 is padded. Sequence numbers run through the buckets, longest first, without gaps. Null and empty texts have the end id
-alone. Repeated rows are packed once each; a null id stays null.
+alone. Repeated rows are packed once each; a null id stays null; nothing hangs on ties; an empty table gives no pieces, and other
+columns are not looked at.
 """
 
 from __future__ import annotations

@@ -133,5 +133,6 @@ def score_documents(documents: DataFrame, model: Model, threshold: float = 0.3)
 
 
 def keep_quality(documents: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """documents without the rows that score below the threshold."""
-    return documents.withColumn("__score", quality_score(F.col("text"), model, documents.sparkSession)).filter(F.col("__score") >= threshold).drop("__score")
+    """documents without the rows that score below the threshold, all columns, whatever their names. Null texts score as
+    empty ones, repeated rows alike, whole texts at any length; an empty table stays empty."""
+    return documents.filter(quality_score(F.col("text"), model, documents.sparkSession) >= threshold)

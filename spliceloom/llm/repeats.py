@@ -362,7 +362,7 @@ def repeat_digest(df: DataFrame, width: int = 100) -> DataFrame:
 
 
 def remove_repeats(df: DataFrame, width: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df with covered bytes cut out of the texts; code points cut in two become U+FFFD. Null texts stay null."""
+    """df, all columns whatever their names, with covered bytes cut out of the texts; code points cut in two become U+FFFD. Null texts stay null."""
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -378,4 +378,6 @@ def remove_repeats(df: DataFrame, width: int = 100, doc_id: str = "doc_id", text
             out.append(b"".join([*kept, raw[at:]]).decode("utf-8", "replace"))
         return pa.array(out, pa.string())
 
-    return _with_spans(df, width, doc_id, text).withColumn(text, cut(F.col(f"`{text}`"), F.col("__spans"))).drop("__spans")
+    packed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    done = _with_spans(packed, width, "doc_id", "text").withColumn("text", cut(F.col("text"), F.col("__spans")))
+    return done.select(*(F.col("text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in df.columns))

@@ -149,7 +149,9 @@ def masked(text: str, mask: str = "[SECRET]", window: int = 20) -> str:
 
 
 def digest(df: DataFrame, window: int = 20) -> DataFrame:
-    """Counts by kind, the hash of the fixed-pattern spans and all spans as text, one row per document."""
+    """Counts by kind, the hash of the fixed-pattern spans and all spans as text, one row per row of df.
+
+    Null texts count as empty and have no spans; spans that start together go by kind; an empty table gives no rows."""
     joined = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     found = find_secrets(df.select("doc_id", "text"), window=window)
     n = lambda k: F.size(F.filter("secret_spans", lambda s: s["kind"] == k)).cast("long")
