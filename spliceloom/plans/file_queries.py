@@ -103,3 +103,89 @@ def sam_lines(spark, sf) -> DataFrame:
     body = SAM.sam_body(exons(spark, sf).withColumnRenamed("seqname", "chr"), none, letters, "tx", 1600)
     f = lambda i: F.get(F.split("value", "\t"), F.lit(i))
     return body.select(f(0).alias("seq_id"), f(1).cast("int").alias("flag"), f(2).alias("chr"), f(3).cast("int").alias("start"), f(5).alias("cigar"))
+
+
+def _back(spark, df: DataFrame, kind: str, **options) -> str:
+    """df as a table of text at a new place."""
+    path = _place(spark, kind)
+    df.write.csv(path, **({"sep": "\t", "header": True, "quote": "", "emptyValue": ""} | options))
+    return path
+
+
+@query("""SELECT 'c' || CAST(o_custkey % 5 AS VARCHAR) AS "Chr_1", CAST(o_orderkey AS INT) AS "Pos_1", CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS "Dir_1", 'c' || CAST(o_custkey % 7 AS VARCHAR) AS "Chr_2",
+CAST(o_custkey AS INT) AS "Pos_2", CASE WHEN o_custkey % 2 = 0 THEN '+' ELSE '-' END AS "Dir_2", CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'ACG' END AS "Inserted_Seq", o_orderpriority AS "Variant_Type", CAST(o_orderkey % 8 AS DOUBLE) / 8 AS "Tumor_VAF" FROM orders""")
+def structural_rows(spark, sf) -> DataFrame:
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    sign = lambda x: F.when(x % 2 == 0, "+").otherwise("-")
+    name = lambda x, n: F.concat(F.lit("c"), (x % n).cast("string"))
+    calls = table(spark, sf, "orders").select(name(c, 5).alias("Chr_1"), k.alias("Pos_1"), sign(k).alias("Dir_1"), name(c, 7).alias("Chr_2"), c.alias("Pos_2"), sign(c).alias("Dir_2"), F.when(k % 3 == 0, "---").otherwise("ACG").alias("Inserted_Seq"), F.col("o_orderpriority").alias("Variant_Type"), ((k % 8).cast("double") / 8).alias("Tumor_VAF"))
+    return tables.read_structural(spark, _back(spark, calls, "sv"))
+
+
+@query("""SELECT 'c' || CAST(p_size AS VARCHAR) AS chr, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS type, CAST(p_partkey AS BIGINT) AS "start", CASE WHEN p_partkey % 2 = 0 THEN NULL ELSE 'tt' END AS ref,
+CASE WHEN p_partkey % 2 = 0 THEN 'gg' END AS alt, CAST(p_partkey + CASE WHEN p_partkey % 2 = 0 THEN 0 ELSE 2 END AS BIGINT) AS "end" FROM part WHERE p_partkey % 3 <> 0""")
+def indel_rows(spark, sf) -> DataFrame:
+    n = F.col("p_partkey")
+    calls = table(spark, sf, "part").select(F.concat(F.lit("c"), F.col("p_size").cast("string")).alias("Chr"), n.alias("Pos"), F.when(n % 2 == 0, "A").otherwise("ATT").alias("Ref"), F.when(n % 2 == 0, "AGG").otherwise("A").alias("Alt"), (n % 3 != 0).alias("Somatic"))
+    return tables.indel_mutations(calls)
+
+
+@query("""SELECT 'c' || CAST(p_size AS VARCHAR) AS chr, '*' AS type, CAST(p_partkey - 1 AS BIGINT) AS "start", CAST(p_partkey AS BIGINT) AS "end", lower(substr(p_name, 1, 1)) AS ref, lower(substr(p_brand, 1, 1)) AS alt FROM part""")
+def point_rows(spark, sf) -> DataFrame:
+    calls = table(spark, sf, "part").select(F.concat(F.lit("c"), F.col("p_size").cast("string")).alias("Chr"), F.col("p_partkey").alias("Pos"), F.substr("p_name", F.lit(1), F.lit(1)).alias("Ref"), F.substr("p_brand", F.lit(1), F.lit(1)).alias("Alt"))
+    return tables.point_mutations(calls)
+
+
+@query("SELECT 'PB.' || CAST(o_orderkey AS VARCHAR) AS isoform FROM orders WHERE o_orderkey % 3 <> 0")
+def accepted_rows(spark, sf) -> DataFrame:
+    k = F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select(F.concat(F.lit("PB."), k.cast("string")).alias("isoform"), F.when(k % 3 == 0, "Artifact").otherwise("Isoform").alias("SQANTI_filter"))
+    return tables.accepted_isoforms(spark, _back(spark, rows, "isoforms"))
+
+
+@query("""SELECT 'r' || CAST(o_orderkey AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN '___' || CAST(o_custkey AS VARCHAR) ELSE '' END AS isoform, CAST(o_custkey AS VARCHAR) AS length, '3' AS exons, o_orderstatus AS structural_category, o_orderpriority AS associated_gene,
+'novel' AS associated_transcript, 'x' AS subcategory, 'r' || CAST(o_orderkey AS VARCHAR) AS seq_id, CAST(CASE WHEN o_orderkey % 2 = 0 THEN o_custkey END AS INT) AS idx FROM orders""")
+def class_rows(spark, sf) -> DataFrame:
+    read = F.concat(F.lit("r"), F.col("o_orderkey").cast("string"))
+    packed = F.when(F.col("o_orderkey") % 2 == 0, F.concat_ws("___", read, F.col("o_custkey").cast("string"))).otherwise(read)
+    rows = table(spark, sf, "orders").select(packed.alias("isoform"), F.col("o_custkey").alias("length"), F.lit("3").alias("exons"), F.col("o_orderstatus").alias("structural_category"), F.col("o_orderpriority").alias("associated_gene"), F.lit("novel").alias("associated_transcript"), F.lit("x").alias("subcategory"))
+    return tables.read_classes(spark, _back(spark, rows, "classes"))
+
+
+@query("""SELECT 'c' || CAST(o_custkey % 5 AS VARCHAR) AS chr, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand, CAST(o_custkey AS BIGINT) AS "start", CAST(o_custkey + o_orderkey AS BIGINT) AS "end" FROM orders""")
+def junction_rows(spark, sf) -> DataFrame:
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    rows = table(spark, sf, "orders").select(k.alias("isoform"), F.concat(F.lit("c"), (c % 5).cast("string")).alias("chrom"), F.when(k % 2 == 0, "+").otherwise("-").alias("strand"), c.alias("genomic_start_coord"), (c + k).alias("genomic_end_coord"))
+    return tables.read_junctions(spark, _back(spark, rows, "junctions"))
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS seq_id, 'c' AS chr, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS type, CAST(o_custkey AS INT) AS "start", CAST(o_custkey + 2 AS INT) AS "end", CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE 'ac' END AS ref,
+CASE WHEN o_orderkey % 2 = 0 THEN 'gt' END AS alt, CAST(0 AS INT) AS tx_start, CAST(9 AS INT) AS tx_end, '+' AS tx_strand, 's' AS sample FROM orders""")
+def variant_rows(spark, sf) -> DataFrame:
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    rows = table(spark, sf, "orders").select(k.alias("seq_id"), F.lit("c").alias("chr"), F.when(k % 2 == 0, "+").otherwise("-").alias("type"), c.alias("start"), (c + 2).alias("end"), F.when(k % 2 != 0, "ac").alias("ref"), F.when(k % 2 == 0, "gt").alias("alt"), F.lit(0).alias("tx_start"), F.lit(9).alias("tx_end"), F.lit("+").alias("tx_strand"), F.lit("s").alias("sample"))
+    return tables.read_variants(spark, _back(spark, rows, "variants"))
+
+
+@query("""SELECT CAST(doc_id AS BIGINT) AS record, m AS mate, 'd' || CAST(doc_id AS VARCHAR) || '/' || CAST(m AS VARCHAR) AS id, CASE WHEN m = 1 THEN lang ELSE source END AS sequence FROM documents, (SELECT unnest([1, 2]) AS m)""")
+def mate_rows(spark, sf) -> DataFrame:
+    d = table(spark, sf, "documents")
+    side = lambda n, c: d.select(F.col("doc_id").cast("long").alias("record"), F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(f"/{n}")).alias("id"), F.col(c).alias("sequence"))
+    return text.interleaved(side(1, "lang"), side(2, "source")).select("record", "mate", "id", "sequence")
+
+
+@query(f"WITH {C_SQL} SELECT 'r' || CAST(id AS VARCHAR) AS seq_id FROM cs WHERE id % 4 = 1 UNION ALL SELECT NULL")
+def kept_sam_lines(spark, sf) -> DataFrame:
+    path, n = _place(spark, "sam"), F.col("id")
+    head = spark.range(1).select(F.lit("@HD\tVN:1.6").alias("value"))
+    head.unionByName(cs_rows(spark, sf).select(F.concat(F.lit("r"), n.cast("string"), F.lit("\t0\tc\t1")).alias("value"))).write.text(path)
+    ids = cs_rows(spark, sf).filter("id % 4 = 1").select(F.concat(F.lit("r"), n.cast("string")).alias("seq_id"))
+    return sinks.kept_lines(text.read_sam_lines(spark, path), ids).select("seq_id")
+
+
+@query("SELECT p_brand AS id, CAST(p_partkey AS VARCHAR) AS member FROM part")
+def group_rows(spark, sf) -> DataFrame:
+    path = _place(spark, "groups")
+    rows = table(spark, sf, "part").groupBy("p_brand", (F.col("p_partkey") % 16).alias("k")).agg(F.array_join(F.collect_list(F.col("p_partkey").cast("string")), ",").alias("m"))
+    rows.select(F.concat_ws("\t", "p_brand", "m").alias("value")).write.text(path)
+    return text.collapsed_groups(spark, path)
