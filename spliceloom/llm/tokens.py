@@ -35,8 +35,10 @@ class Encoder(dict):
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits are not supported")
         self.tokenizer.encode_special_tokens = plain
-        added = [] if plain else [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join(["[\x1c-\x1f]", *added]), re.I)
+        added = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join(["[\x1c-\x1f]", *map(re.escape, added)]), re.I)
+        # a text without any of these (an added token's string up to its first letter) need not be searched
+        self.signs = [*map(chr, range(0x1C, 0x20)), *{re.match("[^a-zA-Z\x80-\U0010ffff]*", a)[0] for a in added}]
         self.bytewise = self.tokenizer.normalizer is None
         self.model = self.tokenizer.model
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -72,12 +74,13 @@ class Encoder(dict):
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
         cut = _BYTE_CHUNK.findall if self.bytewise else str.split
-        out = []
+        out, signs = [], self.signs
         for t in texts:
             if len(self) > MOST:
                 self.old = dict(self)
                 self.clear()
-            out.append(self.whole(t) if self.odd.search(t) else b"".join(map(self.__getitem__, cut(t))))
+            rare = any(sign in t for sign in signs) and self.odd.search(t)
+            out.append(self.whole(t) if rare else b"".join(map(self.__getitem__, cut(t))))
         return out
 
 

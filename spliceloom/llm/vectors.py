@@ -29,7 +29,8 @@ from .components import components
 SAMPLE, CENTRES, CLUSTER, SHARD = 16_384, 512, 400, 2_000
 NEAR, FAR, DEGREE, BACK, ALPHA = 40, 24, 20, 12, 1.2
 BEAM, MEDOIDS, SLACK = 24, 8, 0.1
-AUDIT, LEAST_RECALL = 128, 0.98
+#: Audited rows; recall below which the overlap grows; the least recall that ends the growth once the overlap is 16 or more.
+AUDIT, LEAST_RECALL, STATED_RECALL = 128, 0.98, 0.9
 
 
 def matrix(col: pa.Array, dim: int) -> np.ndarray:
@@ -306,8 +307,8 @@ def near_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
         classes, counts, links = linked(df, vec_id, vector, least, overlap)
         dim = classes.agg(F.max(F.size("v")).alias("d")).first()["d"] or 1
         recall = audit(classes, counts, least, dim)
-        if recall >= LEAST_RECALL or overlap >= 16:
-            break
+        if recall >= LEAST_RECALL or (overlap >= 16 and recall >= STATED_RECALL) or overlap >= CENTRES:
+            break  # with as many clusters a vector as there are centres every pair has met
         overlap *= 2
     joined = components(links)
     of = classes.join(counts, "rep", "left").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
