@@ -258,7 +258,35 @@ def inter_merge(spark, sf) -> DataFrame:
     return tx.select("seqname", "strand", "chain", "tx_start", "tx_end")
 
 
-@query()
+_SAME = lambda a, b: f"{a}.sample = {b}.sample AND {a}.seqname = {b}.seqname AND {a}.strand = {b}.strand"
+_WITHIN = T_SQL + f""",
+m AS (SELECT sample, seqname, strand, chain, MIN(tx_start) AS s, MAX(tx_end) AS e FROM t WHERE chain <> '-' GROUP BY ALL),
+mi AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY seqname, strand, chain) AS i, CAST(CASE WHEN strand = '-' THEN regexp_extract(chain, '^-([0-9]+) ', 1) ELSE regexp_extract(chain, ' ([0-9]+)-$', 1) END AS BIGINT) AS last FROM m),
+o AS (SELECT DISTINCT sample, seqname, strand, tx_start AS s, tx_end AS e FROM t WHERE chain = '-'),
+oi AS (SELECT *, -row_number() OVER (PARTITION BY sample ORDER BY seqname, strand, s, e) AS i FROM o),
+j AS (SELECT q.sample, q.i AS q, u.i AS u, q.s AS qs, q.e AS qe, q.chain AS qc, CAST(u.s AS VARCHAR) || u.chain || CAST(u.e AS VARCHAR) AS f
+      FROM mi q JOIN mi u ON {_SAME("q", "u")} AND q.last = u.last AND q.chain <> u.chain AND contains(u.chain, q.chain)),
+p AS (SELECT sample, q, u FROM j WHERE CAST(regexp_extract(substr(f, 1, instr(f, qc) - 1), '([0-9]+)$', 1) AS BIGINT) <= qs
+      AND qe <= CAST(regexp_extract(substr(f, instr(f, qc) + length(qc)), '^([0-9]+)', 1) AS BIGINT)),
+c AS (SELECT * FROM p WHERE (sample, u) NOT IN (SELECT (sample, q) FROM p)),
+km AS (SELECT * FROM mi WHERE (sample, i) NOT IN (SELECT (sample, q) FROM c)),
+te AS (SELECT sample, seqname, strand, i, CASE WHEN strand = '-' THEN s ELSE last END AS a, CASE WHEN strand = '-' THEN last ELSE e END AS b FROM km),
+im AS (SELECT DISTINCT oi.sample, oi.i AS q, te.i AS u FROM oi JOIN te ON {_SAME("oi", "te")} AND te.a <= oi.s AND oi.e <= te.b),
+fr AS (SELECT * FROM oi WHERE (sample, i) NOT IN (SELECT (sample, q) FROM im)),
+ko AS (SELECT * FROM fr x WHERE NOT EXISTS (SELECT 1 FROM fr y WHERE {_SAME("x", "y")} AND y.s <= x.s AND x.e <= y.e AND x.i <> y.i)),
+io AS (SELECT oi.sample, oi.i AS q, ko.i AS u FROM oi JOIN ko ON {_SAME("oi", "ko")} AND ko.s <= oi.s AND oi.e <= ko.e AND oi.i <> ko.i),
+n AS (SELECT sample, seqname, strand, s, e, i FROM km UNION ALL SELECT sample, seqname, strand, s, e, i FROM ko),
+il AS (SELECT *, MAX(e) OVER (PARTITION BY sample, seqname, strand ORDER BY s, e, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM n),
+isl AS (SELECT *, SUM(CASE WHEN pe IS NULL OR s > pe + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY sample, seqname, strand ORDER BY s, e, i ROWS UNBOUNDED PRECEDING) AS island FROM il),
+g AS (SELECT *, dense_rank() OVER (PARTITION BY sample ORDER BY seqname, strand, island) AS gene FROM isl),
+d AS (SELECT sample, i, 'PB.' || CAST(gene AS VARCHAR) AS gene_id, 'PB.' || CAST(gene AS VARCHAR) || '.' || CAST(row_number() OVER (PARTITION BY sample, gene ORDER BY i) AS VARCHAR) AS transcript_id FROM g),
+lk AS (SELECT sample, i AS q, i AS u, CASE WHEN i > 0 THEN 'intronic_match_include' ELSE 'monoex_match' END AS type FROM n
+       UNION ALL SELECT sample, q, u, 'include' FROM c UNION ALL SELECT sample, q, u, 'include' FROM im UNION ALL SELECT sample, q, u, 'include' FROM io),
+r AS (SELECT t.sample, CAST(t.tx AS VARCHAR) AS seq_id, COALESCE(mi.i, oi.i) AS i FROM t LEFT JOIN mi ON {_SAME("t", "mi")} AND t.chain = mi.chain
+      LEFT JOIN oi ON {_SAME("t", "oi")} AND t.chain = '-' AND t.tx_start = oi.s AND t.tx_end = oi.e)"""
+
+
+@query(f"WITH {_WITHIN} SELECT r.sample, d.gene_id, d.transcript_id, r.seq_id, lk.type FROM r JOIN lk ON r.sample = lk.sample AND r.i = lk.q JOIN d ON d.sample = lk.sample AND d.i = lk.u")
 def intra_merge(spark, sf) -> DataFrame:
     return AS.within_samples(exons(spark, sf).withColumn("seq_id", F.col("tx").cast("string")).drop("tx"))[1]
 
