@@ -225,6 +225,22 @@ def tx_join_include(spark, sf) -> DataFrame:
     return _pairs(TJ.include(*_two(spark, sf, True), PLACE))
 
 
+_SHAPES = "x.seqname, x.strand, x.chain, x.tx_start, x.tx_end, y.chain AS chain_y, y.tx_start AS tx_start_y, y.tx_end AS tx_end_y"
+
+
+@query(f"""WITH {_XY},
+c AS (SELECT x.tx, y.tx AS tx_y, x.tx_start AS s, x.tx_end AS e FROM x JOIN y ON {_ON} AND contains(y.chain, x.chain) AND y.tx_start <= x.tx_start AND x.tx_end <= y.tx_end),
+h AS (SELECT c.tx, c.tx_y, bool_or(ex."start" <= c.s AND c.s <= ex."end") AS hs, bool_or(ex."start" <= c.e AND c.e <= ex."end") AS he FROM c JOIN ex ON ex.tx = c.tx_y GROUP BY 1, 2)
+SELECT DISTINCT 'include' AS kind, {_SHAPES} FROM h JOIN x ON x.tx = h.tx JOIN y ON y.tx = h.tx_y WHERE hs AND he
+UNION ALL SELECT DISTINCT 'match', {_SHAPES} FROM x JOIN y ON {_ON} AND x.chain = y.chain WHERE x.chain <> '-'
+UNION ALL SELECT DISTINCT 'overlap', {_SHAPES} FROM x JOIN y ON {_ON} AND x.tx_start <= y.tx_end AND y.tx_start <= x.tx_end WHERE x.chain = '-' AND y.chain = '-'""")
+def tx_join_structures(spark, sf) -> DataFrame:
+    x, y = _two(spark, sf, True)
+    kinds = {"include": (TJ.include, y), "match": (TJ.intronic_match, y.drop("exons")), "overlap": (TJ.singleexon_overlap, y.drop("exons"))}
+    out = [TJ.of_structures(f, x, right, PLACE).withColumn("kind", F.lit(k)) for k, (f, right) in kinds.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 _ISLANDS = I_SQL + """,
 a AS (SELECT *, MAX(e) OVER (PARTITION BY g, st ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM iv),
 b AS (SELECT *, SUM(CASE WHEN pe IS NULL OR s > pe + 1 THEN 1 ELSE 0 END) OVER (PARTITION BY g, st ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM a),

@@ -13,8 +13,8 @@ def write_tsv(df: DataFrame, path: str, single: bool = False) -> None:
 
 
 def write_by_sample(df: DataFrame, path: str) -> None:
-    """One folder per sample."""
-    df.repartition("sample").write.partitionBy("sample").csv(path, sep="\t", header=True)
+    """One folder per sample; a large sample is as many files as it needs, small ones share tasks."""
+    df.hint("rebalance", "sample").write.partitionBy("sample").csv(path, sep="\t", header=True)
 
 
 def write_matrix(df: DataFrame, key: str, path: str) -> None:
@@ -62,3 +62,16 @@ def kept_lines(lines: DataFrame, ids: DataFrame) -> DataFrame:
     """Header lines and the lines of kept ids, in their old order."""
     head = lines.filter("seq_id IS NULL")
     return head.unionByName(lines.filter("seq_id IS NOT NULL").join(ids.select("seq_id"), "seq_id", "left_semi").select(*lines.columns)).orderBy("file", "line")
+
+
+def concatenated_sam(lines: DataFrame) -> DataFrame:
+    """Lines of several SAM files (read_sam_lines) as one: each distinct header line where it first stands, then all alignment
+    lines in the order of files. Sequence lines of one name must agree in length, or this raises."""
+    head = lines.filter("seq_id IS NULL").groupBy("value").agg(F.min(F.struct("file", "line")).alias("at"))
+    name = F.regexp_extract("value", "\tSN:([^\t]*)", 1)
+    clash = head.filter(F.col("value").startswith("@SQ")).groupBy(name.alias("name")).agg(F.countDistinct(F.regexp_extract("value", "\tLN:([0-9]+)", 1)).alias("n")).filter("n > 1").limit(1).collect()
+    if clash:
+        raise ValueError(f"the files differ in the length of sequence {clash[0]['name']}")
+    head = head.select(F.col("at.file").alias("file"), F.col("at.line").alias("line"), F.lit(None).cast("string").alias("seq_id"), "value", F.lit(0).alias("part"))
+    body = lines.filter("seq_id IS NOT NULL").select("file", "line", "seq_id", "value", F.lit(1).alias("part"))
+    return head.unionByName(body).orderBy("part", "file", "line").drop("part")

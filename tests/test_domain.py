@@ -366,3 +366,12 @@ def test_partly_matched_partial_reads(spark):
     classes = spark.createDataFrame([("s", "r", "partial")], "sample string, seq_id string, read_class string")
     sv = spark.createDataFrame([("s", "c", 1_050, "+", "c", 90_010, "-", "---")], "sample string, Chr_1 string, Pos_1 long, Dir_1 string, Chr_2 string, Pos_2 long, Dir_2 string, Inserted_Seq string")
     assert [tuple(r) for r in FU.match_classes(junctions, classes, sv).collect()] == [("s", "r", "partial")]
+
+
+def test_sam_files_as_one(spark, tmp_path):
+    for n, (size, reads) in {"a": (9, "xy"), "b": (9, "z"), "c": (8, "w")}.items():
+        (tmp_path / f"{n}.sam").write_text(f"@HD\tVN:1.6\n@SQ\tSN:c\tLN:{size}\n" + "".join(f"{r}\t0\tc\t1\n" for r in reads))
+    lines = text.read_sam_lines(spark, [str(tmp_path / "a.sam"), str(tmp_path / "b.sam")])
+    assert [r.value for r in sinks.concatenated_sam(lines).collect()] == ["@HD\tVN:1.6", "@SQ\tSN:c\tLN:9", "x\t0\tc\t1", "y\t0\tc\t1", "z\t0\tc\t1"]
+    with pytest.raises(ValueError, match="length of sequence c"):
+        sinks.concatenated_sam(text.read_sam_lines(spark, str(tmp_path / "*.sam")))
