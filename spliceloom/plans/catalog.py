@@ -15,7 +15,7 @@ from ..operators import counts as CO
 from ..operators import include as I
 from ..operators import ranges as R
 from ..operators import txjoin as TJ
-from ..session import table
+from ..session import settled, table
 from . import assembly as AS
 from .views import COLLAPSED_SQL, I_SQL, T_SQL, TOK_SQL, TX, cs_rows, exons, intervals, transcripts
 
@@ -254,7 +254,7 @@ def locus_reduce(spark, sf) -> DataFrame:
 
 @query(f'WITH {_ISLANDS} SELECT g, st, island, "start", "end", row_number() OVER (ORDER BY g, st, island) AS locus FROM r')
 def locus_ids(spark, sf) -> DataFrame:
-    return R.numbered(R.reduced(intervals(spark, sf), ["g", "st"], "s", "e"), ["g", "st", "island"], "locus")
+    return R.numbered(settled(R.reduced(intervals(spark, sf), ["g", "st"], "s", "e")), ["g", "st", "island"], "locus")
 
 
 _MERGED = COLLAPSED_SQL + """,

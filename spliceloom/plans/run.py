@@ -104,7 +104,9 @@ def run(spark: SparkSession, manifest_path: str, genome: DataFrame, width: int,
 
 
 def write_run(outcome: Outcome, folder: str) -> None:
-    """All results of a run: those of the assembly, variants, fusions with their summary, and alignments by place."""
+    """All results of a run: those of the assembly, variants, fusions with their summary, and alignments by place.
+
+    session.release removes the tables that a run leaves in the shared folder; the outcome cannot be used after it."""
     write(outcome.assembly, folder)
     if outcome.explained is not None:
         write_tsv(outcome.explained, f"{folder}/explained_variants")

@@ -49,8 +49,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[context.applicationId]
 
 
+_written: dict[str, list[str]] = {}
+
+
 def settled(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the folder that driver and executors share: computed once, kept when executors go."""
-    path = f"{shared_dir(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    """df as a Parquet table in the folder that driver and executors share: computed once, kept when executors go, until release."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/settled-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Removes the tables that `settled` has written in this application, and tells how many; for when results are saved."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    return sum(jvm.org.apache.hadoop.fs.Path(p).getFileSystem(conf).delete(jvm.org.apache.hadoop.fs.Path(p), True) for p in paths)

@@ -89,3 +89,13 @@ def test_manifest_rules(spark, tmp_path):
     m = tables.read_manifest(spark, str(tmp_path / "n.csv"))
     none = tables.read_samples(spark, m, "sv", tables.read_structural, tables.STRUCTURAL)
     assert none.count() == 0 and none.columns[-1] == "sample" and tables.read_samples(spark, m, "sv", tables.read_structural) is None
+
+
+def test_written_tables_are_released(spark):
+    from spliceloom import session
+
+    session.release(spark)
+    kept = session.settled(spark.range(5))
+    path = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+    assert Path(path).is_dir() or Path("/" + path.lstrip("/")).is_dir()
+    assert session.release(spark) == 1 and session.release(spark) == 0 and not Path("/" + path.lstrip("/")).exists()
