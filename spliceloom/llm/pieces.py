@@ -5,7 +5,8 @@ candidate merges leave an agenda best score first, leftmost first. A keyed hash
 symbols decides whether a candidate is skipped for good; other candidates still merge, so segmentations vary while their
 pieces spell the same text. The variant of a chunk (a word with the space before it), one of `variants`, is a keyed hash of
 the seed, the whole text and where in the text the chunk stands, so that repeats of a word differ inside a document and
-between documents; with dropout 0 the ids are the model's own. Characters without a piece, and U+2581 itself, become byte pieces, so decoding
+between documents; with dropout 0 the ids are the model's own. A chunk in a variant that skips none of the merges that lead
+to those ids has the same ids, so only the others run their agenda. Characters without a piece, and U+2581 itself, become byte pieces, so decoding
 always gives the text back. Null texts encode to null; the digest counts them as empty, and an empty text has no ids.
 """
 
@@ -14,9 +15,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import re
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,13 @@ SPACE = "▁"
 LONG = 96
 #: Segmentations that a chunk can have in a corpus.
 VARIANTS = 256
-#: Chunks that a worker keeps in each of two generations.
+#: Chunks that a worker keeps; beyond it learns them anew.
 MOST = 400_000
+#: Their characters, with the ids of those above LONG.
+HELD = 20_000_000
+#: Chunks that merge in step at a time.
+BLOCK = 4096
+_NONE = 1 << 62
 _CHUNK = re.compile(r"▁*[^▁\n￹]+|▁+|\n|￹")
 _HIDDEN = "￹"  # stands for U+2581 and for itself while a text is cut; both become byte pieces
 
@@ -53,6 +59,34 @@ class Decoder:
         return b"".join(map(self.bytes.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
+class _Numbers(dict):
+    """A running number for each key, given when the key is first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        return n
+
+
+class _Rows:
+    """Rows of numbers of any lengths, one behind the other in one array."""
+
+    def __init__(self, dtype: type):
+        self.data, self.start, self.size = np.zeros(0, dtype), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, order: np.ndarray, sizes: np.ndarray, data: np.ndarray) -> None:
+        """New rows; `order` says which new row each stretch of the data is."""
+        start, size = np.zeros((2, len(order)), np.int64)
+        start[order], size[order] = len(self.data) + np.cumsum(sizes) - sizes, sizes
+        self.data = np.concatenate([self.data, data.astype(self.data.dtype)])
+        self.start, self.size = np.append(self.start, start), np.append(self.size, size)
+
+
+def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (`size` of them) of each row, row after row."""
+    ends = np.cumsum(size)
+    return np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Codec(Decoder):
     """Encoder and decoder of one model file."""
 
@@ -64,17 +98,24 @@ class Codec(Decoder):
         self.skip = np.uint64(min(int(dropout * 2.0**64), (1 << 64) - 1))
         normal = [i for i in range(self.size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.byte = {int(p[3:5], 16): i for i, p in enumerate(pieces) if model.is_byte(i)}
+        self.of_byte = np.array([self.byte.get(b, 0) for b in range(256)])
         self.id = {pieces[i]: i for i in normal}
         score = np.array([model.get_score(i) for i in range(self.size)])
         pairs = sorted((self.id[p[:k]] << 32 | self.id[p[k:]], i) for p, i in self.id.items() for k in range(1, len(p)) if p[:k] in self.id and p[k:] in self.id)
         self._tables(np.array([k for k, _ in pairs], np.int64), np.array([i for _, i in pairs], np.int64))
-        self.rank = -score
+        self.rank = np.unique(-score, return_inverse=True)[1].astype(np.int64)
         self.of_code = self.size + np.arange(0x110000, dtype=np.int32)
         for piece, i in self.id.items():
             if len(piece) == 1:
                 self.of_code[ord(piece)] = i
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.old = self.known
+        self.salts = self._salt(np.arange(self.variants)[:, None], np.arange(LONG))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.long, self.held = _Numbers(), {}, 0
+        self.heaped: dict[tuple[int, int], np.ndarray] = {}
+        #: Of each chunk: symbols, ids without dropout, and the merges that lead to them (places and pairs)
+        self.symbol, self.plain, self.place, self.pair = _Rows(np.int32), _Rows(np.int32), _Rows(np.uint8), _Rows(np.int64)
 
     def _tables(self, keys: np.ndarray, ids: np.ndarray, bits: int = 20) -> None:
         """Two hashed tables; a pair is in the first or, where that place is taken, in the second."""
@@ -95,65 +136,93 @@ class Codec(Decoder):
         x = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * 0x632BE59BD9B4E019 * salt & (1 << 64) - 1 | 1)
         return ((x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> self.shift).astype(np.int64)
 
-    def _skipped(self, variant: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = mix(place.astype(np.uint64) + variant * np.uint64(0xD1342543DE82EF95) + np.uint64(int(self.seed) * 0x9E3779B97F4A7C15 % (1 << 64)))
-        return mix(key ^ (left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64))) < self.skip
-
-    def _merge(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank (inf for none or skipped) and id of the merge of each pair."""
-        key = left << 32 | right
-        at = self._slot(key, 0)
-        ok = self.pair_key[0][at] == key
-        merged = np.where(ok, self.pair_id[0][at], 0).astype(np.int64)
-        at = self._slot(key, self.second)
-        other = self.pair_key[1][at] == key
-        merged = np.where(other, self.pair_id[1][at], merged)
-        ok |= other
-        if self.skip:
-            ok &= ~self._skipped(variant, place, left, right)
-        return np.where(ok, self.rank[merged], np.inf), merged
+    def _salt(self, variant: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return mix(place.astype(np.uint64) + variant.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(int(self.seed) * 0x9E3779B97F4A7C15 % (1 << 64)))
+
+    def _skipped(self, salt: np.ndarray, pair: np.ndarray) -> np.ndarray:
+        return mix(salt ^ pair.astype(np.uint64)) < self.skip
+
+    def _merged(self, pair: np.ndarray) -> np.ndarray:
+        """Id of the merge of each pair (left << 32 | right), -1 for none."""
+        at = self._slot(pair, 0)
+        merged = np.where(self.pair_key[0][at] == pair, self.pair_id[0][at], -1)
+        rest = np.flatnonzero(merged < 0)
+        at = self._slot(pair[rest], self.second)
+        merged[rest] = np.where(self.pair_key[1][at] == pair[rest], self.pair_id[1][at], -1)
+        return merged
 
     def symbols(self, text: str) -> np.ndarray:
         """A piece id for each character; characters without one are size + code point."""
         return self.of_code[np.frombuffer(text.encode("utf-32-le"), np.uint32)].astype(np.int64)
 
-    def in_step(self, chunks: list[str], variants: list[int]) -> list[bytes]:
-        """Ids after all merges, for chunks of one length and their variants; symbols of a chunk are linked, so nothing moves."""
-        n, width = len(chunks), len(chunks[0])
-        sym, variant = self.symbols("".join(chunks)).reshape(n, width), np.array(variants, np.uint64)
-        cols = np.arange(width)
-        after, before = np.tile(cols + 1, (n, 1)), np.tile(cols - 1, (n, 1))
-        rank, merged = np.full((n, width), np.inf, np.float32), np.zeros((n, width), np.int64)
+    def _agenda(self, pair: np.ndarray, place: np.ndarray, variant: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and place as one number (_NONE for no merge or a skipped one) and id of the merge of each pair."""
+        merged = self._merged(pair)
+        at = np.flatnonzero(merged >= 0)
+        if variant is not None and self.skip:
+            at = at[~self._skipped(self.salts.ravel()[variant[at] * LONG + place[at]], pair[at])]
+        turn = np.full(len(pair), _NONE)
+        turn[at] = self.rank[merged[at]] << 7 | place[at]
+        return turn, merged
+
+    def _steps(self, sym: np.ndarray, variant: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+        """Symbols after all merges of chunks of one length (a row each, LONG at most), how many each has, and the merges as row, place and pair.
+
+        Symbols of a chunk are linked, so nothing moves. Chunks stand in columns here. Without variants nothing is skipped.
+        """
+        n, width = sym.shape
+        done, own, sym = np.empty((width, n), np.int64), np.arange(n), sym.T.flatten()
+        places = np.repeat(np.arange(width), n)
+        after, before = places + 1, places - 1
+        turn, merged = np.full(width * n, _NONE), np.zeros(width * n, np.int64)
         if width > 1:
-            rank[:, :-1], merged[:, :-1] = self._merge(sym[:, :-1], sym[:, 1:], cols[:-1], variant[:, None])
-        live = np.arange(n)
+            turn[:-n], merged[:-n] = self._agenda(sym[:-n] << 32 | sym[n:], places[:-n], None if variant is None else np.tile(variant, width - 1))
+        path = []
         while True:
-            r = rank[live]
-            j = np.argmin(r, axis=1)
-            go = r[np.arange(len(live)), j] < np.inf
-            live, j = live[go], j[go]
-            if not len(live):
-                break
-            k = after[live, j]
-            end = after[live, k]
-            sym[live, j] = merged[live, j]
-            sym[live, k] = -1
-            rank[live, k] = rank[live, j] = np.inf
-            after[live, j] = end
-            more = end < width
-            before[live[more], end[more]] = j[more]
-            start = before[live, j]
-            less = start >= 0
-            row = np.concatenate([live[more], live[less]])
-            left, right = np.concatenate([j[more], start[less]]), np.concatenate([end[more], j[less]])
-            rank[row, left], merged[row, left] = self._merge(sym[row, left], sym[row, right], left, variant[row])
-        kept = sym >= 0
-        ends = np.cumsum(kept.sum(axis=1)) * 4
-        data = sym[kept].astype("<i4").tobytes()
-        out = [data[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-        for i in np.flatnonzero((sym >= self.size).any(axis=1)).tolist():
-            out[i] = self._final(sym[i][kept[i]].tolist())
-        return out
+            best = turn.reshape(width, n).min(axis=0)
+            go = np.flatnonzero(best < _NONE)
+            if 4 * len(go) <= 3 * n:
+                done[:, own] = sym.reshape(width, n)
+                if not len(go):
+                    break
+                sym, after, before, turn, merged = (x.reshape(width, n)[:, go].ravel() for x in (sym, after, before, turn, merged))
+                own, best, variant, n = own[go], best[go], None if variant is None else variant[go], len(go)
+                go = np.arange(n)
+            j = best[go] & 127
+            at = j * n + go
+            k = after[at] * n + go
+            end, start = after[k], before[at]
+            if variant is None:
+                path.append((own[go], j, sym[at] << 32 | sym[k]))
+            sym[at], sym[k] = merged[at], -1
+            turn[at] = turn[k] = _NONE
+            after[at] = end
+            more, less = np.flatnonzero(end < width), np.flatnonzero(start >= 0)
+            before[end[more] * n + go[more]] = j[more]
+            col, left = np.concatenate([go[more], go[less]]), np.concatenate([j[more], start[less]])
+            at, k = left * n + col, np.concatenate([end[more], j[less]]) * n + col
+            turn[at], merged[at] = self._agenda(sym[at] << 32 | sym[k], left, None if variant is None else variant[col])
+        done = done.T
+        kept = done >= 0
+        return done[kept], kept.sum(axis=1), tuple(map(np.concatenate, zip(*path, strict=True))) if path else (np.zeros(0, np.int64),) * 3
+
+    def _spelled(self, sym: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of rows of symbols and how many each row has; characters without a piece become byte pieces."""
+        odd = sym >= self.size
+        if not odd.any():
+            return sym, sizes
+        chars = "".join(map(chr, (sym[odd] - self.size).tolist()))
+        width = np.ones(len(sym), np.int64)
+        width[odd] = [len(c.encode()) for c in chars]
+        ids, ends = np.repeat(sym, width), np.append(0, np.cumsum(width))[np.append(0, np.cumsum(sizes))]
+        ids[np.repeat(odd, width)] = self.of_byte[np.frombuffer(chars.encode(), np.uint8)]
+        return ids, np.diff(ends)
+
+    def in_step(self, chunks: list[str], variants: list[int]) -> list[bytes]:
+        """Ids after all merges, for chunks of one length (LONG at most) and their variants."""
+        sym, sizes, _ = self._steps(self.symbols("".join(chunks)).reshape(len(chunks), -1), np.array(variants, np.int64))
+        ids, sizes = self._spelled(sym, sizes)
+        return [x.astype("<i4").tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])]
 
     def by_heap(self, chunk: str, variant: int) -> list[int]:
         """Symbols of one chunk by an agenda of candidates."""
@@ -162,8 +231,12 @@ class Codec(Decoder):
 
         def candidates(lefts: list[int]) -> list[tuple]:
             a, b = np.array([sym[i] for i in lefts], np.int64), np.array([sym[after[i]] for i in lefts], np.int64)
-            rank, merged = self._merge(a, b, np.array(lefts), np.full(len(lefts), variant, np.uint64))
-            return [(r, i, x, y, m) for r, i, x, y, m in zip(rank.tolist(), lefts, a.tolist(), b.tolist(), merged.tolist(), strict=True) if r < float("inf")]
+            pair = a << 32 | b
+            merged = self._merged(pair)
+            ok = merged >= 0
+            if self.skip:
+                ok &= ~self._skipped(self._salt(np.full(len(lefts), variant), np.array(lefts)), pair)
+            return [(r, i, x, y, m) for r, i, x, y, m, good in zip(self.rank[merged].tolist(), lefts, a.tolist(), b.tolist(), merged.tolist(), ok.tolist(), strict=True) if good]
 
         agenda = candidates(list(range(n - 1))) if n > 1 else []
         heapq.heapify(agenda)
@@ -180,31 +253,80 @@ class Codec(Decoder):
         return [s for s in sym if s >= 0]
 
     def _final(self, symbols: list[int]) -> bytes:
-        if max(symbols) < self.size:
-            return array("i", symbols).tobytes()
-        return array("i", [i for s in symbols for i in ([s] if s < self.size else [self.byte[b] for b in chr(s - self.size).encode()])]).tobytes()
-
-    def learn(self, need: list[set[str]]) -> None:
-        """Ids of chunks that a variant does not know yet; chunks of one length merge together, whatever their variant."""
-        by: dict[int, tuple[list[str], list[int]]] = {}
-        for v, some in enumerate(need):
-            known, old = self.known[v], self.old[v]
-            for c in some:
-                if (ids := old.get(c)) is None:
-                    chunks, variants = by.setdefault(len(c), ([], []))
-                    chunks.append(c)
-                    variants.append(v)
+        return self._spelled(np.array(symbols, np.int64), np.array([len(symbols)]))[0].astype("<i4").tobytes()
+
+    def learn(self, chunks: list[str]) -> None:
+        """Symbols, ids without dropout and their merges, of chunks not known yet; chunks of one length merge together.
+
+        Of chunks above LONG only the text is kept where there is dropout: they go through a heap for each variant.
+        """
+        by: dict[int, list[int]] = {}
+        known = len(self.symbol.size)
+        self.held += sum(map(len, chunks))
+        for i, c in enumerate(chunks):
+            by.setdefault(0 if c[0] == _HIDDEN else len(c), []).append(i)
+        parts: list[tuple] = []
+        for width, rows in by.items():
+            for i in range(0, len(rows), BLOCK):
+                some = rows[i : i + BLOCK]
+                none, sizes = np.zeros(0, np.int64), np.full(len(some), width)
+                if width and width <= LONG:
+                    sym = self.symbols("".join([chunks[k] for k in some]))
+                    ids, n_ids, (row, place, pair) = self._steps(sym.reshape(-1, width), None)
+                    by_row = np.argsort(row, kind="stable")
+                    ids, n_ids = self._spelled(ids, n_ids)
+                    parts.append((some, sizes, sym, n_ids, ids, np.bincount(row, minlength=len(some)), place[by_row], pair[by_row]))
+                    continue
+                if not width:
+                    each = [self.of_byte[np.frombuffer(chunks[k][1].encode(), np.uint8)] for k in some]
+                elif self.skip:
+                    each = [none for _ in some]
+                    self.long |= {known + k: chunks[k] for k in some}
                 else:
-                    known[c] = ids
-        for length, (chunks, variants) in by.items():
-            if length > LONG:
-                for c, v in zip(chunks, variants, strict=True):
-                    self.known[v][c] = self._final(self.by_heap(c, v))
-                continue
-            for i in range(0, len(chunks), 10_000):
-                part, its = chunks[i : i + 10_000], variants[i : i + 10_000]
-                for c, v, ids in zip(part, its, self.in_step(part, its), strict=True):
-                    self.known[v][c] = ids
+                    each = [np.frombuffer(self._final(self.by_heap(chunks[k], 0)), "<i4") for k in some]
+                no = np.zeros(len(some), np.int64)
+                parts.append((some, no, none, np.array(list(map(len, each))), np.concatenate(each), no, none, none))
+        order, sizes, sym, n_ids, ids, n_path, place, pair = map(np.concatenate, zip(*parts, strict=True))
+        for rows, size, data in ((self.symbol, sizes, sym), (self.plain, n_ids, ids), (self.place, n_path, place), (self.pair, n_path, pair)):
+            rows.add(order, size, data)
+
+    def _touched(self, word: np.ndarray, variant: np.ndarray) -> np.ndarray:
+        """Where a merge that leads to the ids without dropout is skipped, and long chunks; all others keep those ids.
+
+        The best candidate that is not skipped merges next, so while none of those merges is skipped they are the ones that happen.
+        """
+        touched = self.plain.size[word] == 0
+        for i in range(0, len(word), 1 << 16):
+            some, its = word[i : i + (1 << 16)], variant[i : i + (1 << 16)]
+            size = self.pair.size[some]
+            at, row = _places(self.pair.start[some], size), np.repeat(np.arange(len(some)), size)
+            salt = self.salts.ravel()[(its * LONG)[row] + self.place.data[at]]
+            touched[i + row[self._skipped(salt, self.pair.data[at])]] = True
+        return touched
+
+    def _heaped(self, word: int, variant: int) -> np.ndarray:
+        if (ids := self.heaped.get((word, variant))) is None:
+            ids = self.heaped[word, variant] = np.frombuffer(self._final(self.by_heap(self.long[word], variant)), "<i4")
+            self.held += len(ids)
+        return ids
+
+    def _varied(self, word: np.ndarray, variant: np.ndarray) -> _Rows:
+        """Ids of chunks in variants, with all that these skip."""
+        out, parts, widths = _Rows(np.int32), [], self.symbol.size[word]
+        for width in np.unique(widths).tolist():
+            rows = np.flatnonzero(widths == width)
+            for i in range(0, len(rows), BLOCK):
+                some = rows[i : i + BLOCK]
+                if width:
+                    sym = self.symbol.data[self.symbol.start[word[some], None] + np.arange(width)].astype(np.int64)
+                    ids, sizes = self._spelled(*self._steps(sym, variant[some])[:2])
+                else:
+                    each = list(map(self._heaped, word[some].tolist(), variant[some].tolist()))
+                    ids, sizes = np.concatenate(each), np.array(list(map(len, each)))
+                parts.append((some, sizes, ids))
+        if parts:
+            out.add(*map(np.concatenate, zip(*parts, strict=True)))
+        return out
 
     def _kinds(self, text: str, n: int) -> list[int]:
         """Variant of each of the n chunks of a text."""
@@ -215,28 +337,33 @@ class Codec(Decoder):
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        out = []
-        if sum(map(len, self.known)) > MOST:
-            self.old, self.known = self.known, [{} for _ in self.known]
-        cut: list[tuple[list, list[str]]] = []
-        need: list[set[str]] = [set() for _ in self.known]
+        if len(self.words) > MOST or self.held > HELD:
+            self._forget()
+        cut: list[str] = []
+        ends, kinds = [0], []
         for t in texts:
             chunks = _CHUNK.findall((" " + t).replace(SPACE, _HIDDEN).replace(" ", SPACE)) if t else []
-            kinds = self._kinds(t, len(chunks))
-            cut.append((kinds, chunks))
-            for v, c in zip(kinds, chunks, strict=True):
-                if c not in self.known[v]:
-                    need[v].add(c)
-        self.learn(need)
-        known = self.known
-        for t, (kinds, chunks) in zip(texts, cut, strict=True):
             if SPACE in t or _HIDDEN in t:
-                hidden = (np.array([self.byte[b] for b in c.encode()], "<i4").tobytes() for c in t if c in (SPACE, _HIDDEN))
-                parts = [next(hidden) if c == _HIDDEN else known[v][c] for v, c in zip(kinds, chunks, strict=True)]
-            else:
-                parts = [known[v][c] for v, c in zip(kinds, chunks, strict=True)]
-            out.append(np.frombuffer(b"".join(parts), "<i4"))
-        return out
+                hidden = (c for c in t if c in (SPACE, _HIDDEN))
+                chunks = [c + next(hidden) if c == _HIDDEN else c for c in chunks]
+            cut += chunks
+            ends.append(len(cut))
+            kinds.append(np.array(self._kinds(t, len(chunks)), np.int64))
+        known = len(self.words)
+        word = np.fromiter(map(self.words.__getitem__, cut), np.int64, len(cut))
+        if len(self.words) > known:
+            self.learn(list(itertools.islice(self.words, known, None)))
+        data, start, size = self.plain.data, self.plain.start[word], self.plain.size[word]
+        if self.skip and len(cut):
+            variant = np.concatenate(kinds)
+            at = np.flatnonzero(self._touched(word, variant))
+            pairs, which = np.unique(word[at] * self.variants + variant[at], return_inverse=True)
+            varied = self._varied(pairs // self.variants, pairs % self.variants)
+            start[at], size[at] = len(data) + varied.start[which], varied.size[which]
+            data = np.concatenate([data, varied.data])
+        ids = data[_places(start, size)].astype("<i4", copy=False)
+        ends = np.append(0, np.cumsum(size))[ends].tolist()
+        return [ids[a:b] for a, b in itertools.pairwise(ends)]
 
 
 _codecs: dict[tuple, Codec] = {}
@@ -262,7 +389,7 @@ def encode(text: Column, path: str, dropout: float = 0.1, seed: int = 0, variant
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
         own, nulls, out = codec(path, dropout, seed, variants), texts.is_null().to_pylist(), []
-        for part in slices(texts, 6 << 20):
+        for part in slices(texts):
             out += own.encode(part.to_pylist())
         return pa.array([None if n else x for x, n in zip(out, nulls, strict=True)], pa.list_(pa.int32()))
 

@@ -132,6 +132,35 @@ def test_merge_dropout(dropout):
         assert ids.tolist() == slow_dropout(t, model, vocabulary, dropout, 11, 4 if dropout else 1), t
 
 
+def test_dropout_runs_no_agenda_that_skips_nothing(monkeypatch):
+    looked, slot, codec = [], pieces.Codec._slot, pieces.Codec(PIECES, 0.1, 3)
+    monkeypatch.setattr(pieces.Codec, "_slot", lambda self, keys, salt: looked.append(keys.size) or slot(self, keys, salt))
+    rng = random.Random(5)
+    some = ["house", "water", "nation", "people", "through", "little", "school", "number"]
+    codec.encode([" ".join(rng.choice(some) for _ in range(6000))])
+    own = sum(looked)
+    looked.clear()
+    for w in some:
+        codec.in_step(["▁" + w] * codec.variants, list(range(codec.variants)))
+    assert own < sum(looked) * 2 / 3
+
+
+@pytest.mark.parametrize("limits", [{}, {"MOST": 5}, {"HELD": 200, "BLOCK": 3}])
+def test_merge_dropout_over_batches(monkeypatch, limits):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    vocabulary = {model.id_to_piece(i): i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))}
+    for name, value in limits.items():
+        monkeypatch.setattr(pieces, name, value)
+    rng, codec = random.Random(8), pieces.Codec(PIECES, 0.2, 5)
+    some = ["house", "water,", "Interesting", "internationalisation", "été🙂", "1234", "the", "a▁b", "￹", "\n", "漢" * 50 + "🙂the" * 20]
+    for _ in range(6):
+        texts = [" ".join(rng.choice(some) for _ in range(rng.randrange(25))) for _ in range(3)]
+        for t, ids in zip(texts * 2, codec.encode(texts) + codec.encode(texts), strict=True):
+            assert ids.dtype == np.dtype("<i4") and ids.tolist() == slow_dropout(t, model, vocabulary, 0.2, 5, 256), t
+
+
 def test_digest_of_texts_with_secrets(spark):
     rng = random.Random(9)
     parts = ["password: hunter22", "PassWD='abc'", "api_key = Ab12.cd-34", "Token=x", "secret:\"zzzzzz==\"", "AKIA" + "ABCDEFGH12345678", "AKIA" + "AB", "deadbeef" * 4, "deadbeef" * 2, "DEADBEEF" * 4, "éé", "plain words here", "sk_" + "aZ9bY8cX7dW6eV5fU4gT3hS2", "\n"]
