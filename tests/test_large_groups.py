@@ -9,6 +9,7 @@ from spliceloom.operators import chains as CH
 from spliceloom.operators import include as I
 from spliceloom.operators import mutations as M
 from spliceloom.operators import ranges as R
+from spliceloom.operators import txjoin as TJ
 from spliceloom.plans import assembly as AS
 from spliceloom.plans import catalog
 
@@ -71,3 +72,29 @@ def test_chunks_made_on_the_way_are_not_broadcast(spark, monkeypatch):
     assert [r.repeat_start for r in out.collect()] == [0] * 8
     joins = [line for p in [*plans, plan(out)] for line in p.split("\n") if "Join [chr#" in line and (re.search(r"Join \[chr#\d+\],", line) or any(k in line for k in ("chunk#", "__at#", "__bin#")))]
     assert all(any(k in j for j in joins) for k in ("chunk#", "__at#", "__bin#")) and all("SortMergeJoin" in j for j in joins), joins
+
+
+def _alike(spark, n):
+    """n transcripts of one spliced structure and n of one mono-exon structure, on both sides."""
+    spliced = (F.lit("-20 30-").alias("chain"), F.lit(5).cast("long").alias("tx_start"), F.lit(40).cast("long").alias("tx_end"), F.array(*[F.struct(F.lit(a).cast("long").alias("start"), F.lit(b).cast("long").alias("end")) for a, b in ((5, 20), (30, 40))]).alias("exons"))
+    mono = (F.lit("-").alias("chain"), F.lit(7).cast("long").alias("tx_start"), F.lit(12).cast("long").alias("tx_end"), F.array(F.struct(F.lit(7).cast("long").alias("start"), F.lit(12).cast("long").alias("end"))).alias("exons"))
+    one = lambda shape: spark.range(n).select(F.lit("c").alias("seqname"), F.col("id").alias("tx"), *shape)
+    return one(spliced).unionByName(one(mono).withColumn("tx", F.col("tx") + n))
+
+
+@pytest.mark.parametrize(("name", "kinds"), [("include", 3)])
+def test_pairs_of_large_groups_are_made_behind_the_last_shuffle(spark, name, kinds):
+    n = 300
+    y = _alike(spark, n)
+    x = y.drop("exons")
+    got = getattr(TJ, name)(x, y if name == "include" else x, ["seqname"]).select("tx", "tx_y")
+    top = got._jdf.queryExecution().executedPlan().toString().split("Exchange ")[0]
+    assert top.count("Generate explode") >= 2
+    assert got.count() == got.distinct().count() == kinds * n * n
+
+
+def test_packed_rows_are_bounded(spark):
+    rows = spark.range(5000).select(F.lit("c").alias("k"), F.col("id").alias("tx"), F.lit(None).cast("string").alias("z")).unionByName(spark.createDataFrame([(None, 1, "z")], "k string, tx long, z string"))
+    got = TJ.packed(rows, ["k"], "m", most=500).collect()
+    assert sum(len(r.m) for r in got) == 5000 and len(got) == 10 and max(len(r.m) for r in got) < 700
+    assert sum(len(r.m) for r in TJ.packed(rows.drop("tx"), ["k"], "m").collect()) == 5000
