@@ -82,7 +82,7 @@ def _alike(spark, n):
     return one(spliced).unionByName(one(mono).withColumn("tx", F.col("tx") + n))
 
 
-@pytest.mark.parametrize(("name", "kinds"), [("include", 3)])
+@pytest.mark.parametrize(("name", "kinds"), [("include", 3), ("intronic_match", 1), ("intronic_include", 2), ("singleexon_overlap", 1), ("edge_tolerate_match", 2)])
 def test_pairs_of_large_groups_are_made_behind_the_last_shuffle(spark, name, kinds):
     n = 300
     y = _alike(spark, n)
