@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from spliceloom.operators import fusions as FU
+from spliceloom.plans import catalog
 from spliceloom.plans import fusion
 from spliceloom.sources import text
 
@@ -41,6 +42,22 @@ def test_structural_matches(spark):
         got = sorted((r.id, int(r.k)) for r in FU.match_structural(j, v, mode).select("id", "k").collect())
         want = matches_by_hand(real, vs, 100, reach)
         assert got == want and len(want) > 50
+        hit = FU.matched(j, v, mode)
+        assert hit.columns == j.columns and sorted(r.id for r in hit.collect()) == sorted({i for i, _ in want})
+
+
+def test_whether_a_variant_matches_is_told_without_pairs(spark):
+    """Variants around the four corners of the range, which begins, ends or lies across blocks; and plans of queries that only ask whether."""
+    rng = random.Random(5)
+    width = 100_101
+    edge = lambda: rng.choice([0, 1, 2]) * width + rng.choice([-201, -101, -100, -1, 0, 1, 100, 101, 5000])
+    js = [(i, "s", "a", rng.choice("+-"), edge() + 200, "b", rng.choice("+-"), edge() + 200) for i in range(300)]
+    vs = [("s", "a", edge(), rng.choice("+-"), "b", edge(), rng.choice("+-"), "") for _ in range(12)]
+    want = {i for i, _ in matches_by_hand(js, vs, 100, 100_000)}
+    got = [r.id for r in FU.matched(spark.createDataFrame(js, JUNCTION), spark.createDataFrame(vs, SV), "internal").collect()]
+    assert sorted(got) == sorted(want) and 30 < len(want) < 270
+    for name in ("sv_triage", "fusion_reads"):
+        assert "__cell" not in catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
 
 
 def case(name, chroms, blocks):
